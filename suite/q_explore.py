@@ -30,8 +30,8 @@ def _frequency_sql(cols: tuple[str, ...], top: int) -> str:
         sum(n) OVER (PARTITION BY "column") AS total, count(*) OVER (PARTITION BY "column") AS k
       FROM counts WINDOW w AS (PARTITION BY "column" ORDER BY n DESC, value))
     SELECT "column", CAST(position AS INT) AS position, value, n,
-      round(CAST(n AS DOUBLE) / total * 100, 2) AS pct,
-      round(CAST(cum AS DOUBLE) / total * 100, 2) AS cum_pct, k AS n_categories,
+      round_even((CAST(n AS DOUBLE) / total * 100) * 100, 0) / 100 AS pct,
+      round_even((CAST(cum AS DOUBLE) / total * 100) * 100, 0) / 100 AS cum_pct, k AS n_categories,
       CAST(greatest(k - {top}, 0) AS BIGINT) AS others
     FROM ranked WHERE position <= {top}"""
 
@@ -44,7 +44,7 @@ def frequency_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {deaths_sql('depocu')}, top AS (SELECT depocu AS value, count(*) AS n FROM deaths
       WHERE depocu IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 20)
-    SELECT value, n, round(CAST(n AS DOUBLE) / (SELECT sum(n) FROM top) * 100, 1) AS pct FROM top"""
+    SELECT value, n, round_even((CAST(n AS DOUBLE) / (SELECT sum(n) FROM top) * 100) * 10, 0) / 10 AS pct FROM top"""
 )
 def bar_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frequency.bar_data(deaths(spark, sf_dir, "depocu"), "depocu")
@@ -241,8 +241,8 @@ def _outlier_sql(cols: tuple[str, ...], source: str) -> str:
         round(q3 - q1, 4) AS iqr, round(q1 - 1.5 * (q3 - q1), 4) AS lower,
         round(q3 + 1.5 * (q3 - q1), 4) AS upper, count({c}) AS n,
         count(*) FILTER ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS n_outliers,
-        round(100.0 * count(*) FILTER ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1))
-          / count({c}), 2) AS pct_outliers
+        round_even((count(*) FILTER ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1))
+          / count({c}) * 100) * 100, 0) / 100 AS pct_outliers
         FROM {source}, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3
           FROM {source}) GROUP BY q1, q3 HAVING q3 <> q1"""
         for c in cols

@@ -260,12 +260,12 @@ def storage_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'defunciones' AS dataset, CAST(year(o_orderdate) + 17 AS SMALLINT) AS _year,
-      count(*) AS n FROM orders GROUP BY ALL
-    UNION ALL SELECT 'nacimientos', 2019, count(*) FROM lineitem
+    """SELECT dataset, CAST(_year AS SMALLINT) AS _year, n FROM (
+    SELECT 'defunciones' AS dataset, year(o_orderdate) + 17 AS _year, count(*) AS n
+    FROM orders GROUP BY ALL UNION ALL SELECT 'nacimientos', 2019, count(*) FROM lineitem
     UNION ALL SELECT 'matrimonios', 2020, count(*) FROM customer
     UNION ALL SELECT 'divorcios', 2021, count(*) FROM supplier
-    UNION ALL SELECT 'defunciones_fetales', 2020, count(*) FROM part"""
+    UNION ALL SELECT 'defunciones_fetales', 2020, count(*) FROM part)"""
 )
 def stream_new_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landed vintages picked up by the stream instead of a full load."""

@@ -100,7 +100,7 @@ def _summary_sql(columns: dict[str, str], source: str) -> str:
         parts.append(
             f"""SELECT '{c}' AS column_name, '{kind}' AS column_type, CAST(min({c}) AS VARCHAR) AS min,
             CAST(max({c}) AS VARCHAR) AS max, {avg} AS avg, {std} AS std, count(*) AS count,
-            round(100.0 * count(*) FILTER ({c} IS NULL) / count(*), 2) AS null_percentage
+            round_even((count(*) FILTER ({c} IS NULL) / count(*) * 100) * 100, 0) / 100 AS null_percentage
             FROM {source}"""
         )
     return " UNION ALL ".join(parts)
@@ -142,7 +142,7 @@ def _profile_sql(columns: list[str], kinds: dict[str, str], labels: dict[str, st
     return " UNION ALL ".join(
         f"""SELECT {i} AS position, '{c}' AS "column", '{labels.get(c, c)}' AS description,
         '{kinds[c]}' AS type, count(DISTINCT {c}) AS n_unique, count(*) FILTER ({c} IS NULL) AS n_null,
-        round(100.0 * count(*) FILTER ({c} IS NULL) / count(*), 1) AS pct_null, count(*) AS n_rows
+        round_even((count(*) FILTER ({c} IS NULL) / count(*) * 100) * 10, 0) / 10 AS pct_null, count(*) AS n_rows
         FROM deaths"""
         for i, c in enumerate(columns)
     )
@@ -201,7 +201,7 @@ def column_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {deaths_sql(*_PROFILED)} SELECT * FROM (
     {" UNION ALL ".join(f'''SELECT '{c}' AS "column", count(*) FILTER ({c} IS NULL) AS n_null,
-      round(100.0 * count(*) FILTER ({c} IS NULL) / count(*), 1) AS pct_null FROM deaths'''
+      round_even((count(*) FILTER ({c} IS NULL) / count(*) * 100) * 10, 0) / 10 AS pct_null FROM deaths'''
       for c in _PROFILED)}) WHERE pct_null > 5"""
 )
 def missingness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +247,7 @@ def numeric_describe_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""SELECT '{c}' AS "column", round(quantile_cont({c}, 0.5), 4) AS median,
         (SELECT round({c}, 4) FROM lineitem GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS mode,
         round(skewness({c}), 4) AS skew, round(kurtosis({c}), 4) AS kurtosis,
-        round(stddev_samp({c}) / avg({c}) * 100, 2) AS cv_pct,
+        round_even((stddev_samp({c}) / avg({c}) * 100) * 100, 0) / 100 AS cv_pct,
         round(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25), 4) AS iqr FROM lineitem"""
         for c in MEASURES
     )
@@ -331,7 +331,7 @@ def dataset_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT count(*) FILTER (l_returnflag = 'R') AS n_loaded, count(*) AS n_stored,
-      round(100.0 * count(*) FILTER (l_returnflag = 'R') / count(*), 1) AS pct FROM lineitem"""
+      round_even((count(*) FILTER (l_returnflag = 'R') / count(*) * 100) * 10, 0) / 10 AS pct FROM lineitem"""
 )
 def loaded_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")

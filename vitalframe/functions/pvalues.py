@@ -7,6 +7,7 @@ shipped with the plan and needs no package on the executors.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,8 +15,6 @@ TAIL_TYPE = "p_value double, neg_log10_p double"
 
 
 def _chi2_tail_udf():
-    import pandas as pd
-
     def tail(statistic: pd.Series, dof: pd.Series) -> pd.DataFrame:
         import math
 
@@ -64,8 +63,6 @@ def _chi2_tail_udf():
 
 
 def _normal_tail_udf():
-    import pandas as pd
-
     def tail(z: pd.Series) -> pd.DataFrame:
         import math
 

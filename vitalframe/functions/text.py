@@ -42,7 +42,15 @@ def short_label(text: Column, max_len: int = 40) -> Column:
 
 
 def literal_map(pairs: Mapping) -> Column:
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+    """Map constant from text or numeric keys to text, built from one SQL expression."""
+
+    def sql(x: object) -> str:
+        if isinstance(x, (int, float)):
+            return f"{float(x)!r}D"
+        escaped = str(x).replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+
+    return F.expr("map(" + ", ".join(f"{sql(k)}, {sql(v)}" for k, v in pairs.items()) + ")")
 
 
 def replace_values(text: Column, pairs: Mapping[str, str]) -> Column:

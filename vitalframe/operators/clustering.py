@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
@@ -157,9 +159,6 @@ def sweep_k(
 
 
 def _silhouette_task(sample, names):
-    import numpy as np
-    import pandas as pd
-
     def score(batches):
         points, labels = sample.value
         norms = (points**2).sum(axis=1)
@@ -202,8 +201,6 @@ def exact_silhouette(
     bounded set is broadcast and each task scores its share of the points against it, summing
     distances per cluster, for all labellings at once. Pairs of points are never rows.
     """
-    import numpy as np
-
     spark = points.sparkSession
     kind = dict(points.dtypes)["features"]
     features = vector_to_array("features") if kind == "vector" else F.col("features")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalframe.functions.numbers import round_half_even
 from vitalframe.operators.counts import count_by, melt
 
 MAX_CATEGORIES = 50
@@ -40,8 +41,8 @@ def frequency_table(
         "position",
         "value",
         "n",
-        F.round(F.col("n") / F.col("_total") * 100, 2).alias("pct"),
-        F.round(F.col("_cum") / F.col("_total") * 100, 2).alias("cum_pct"),
+        round_half_even(F.col("n") / F.col("_total") * 100, 2).alias("pct"),
+        round_half_even(F.col("_cum") / F.col("_total") * 100, 2).alias("cum_pct"),
         "n_categories",
         F.greatest(F.col("n_categories") - limit, F.lit(0)).alias("others"),
     )
@@ -56,7 +57,7 @@ def bar_data(df: DataFrame, col: str, top: int = 20) -> DataFrame:
         .withColumnRenamed(col, "value")
     )
     total = shown.agg(F.sum("n")).scalar()
-    return shown.withColumn("pct", F.round(F.col("n") / total * 100, 1))
+    return shown.withColumn("pct", round_half_even(F.col("n") / total * 100, 1))
 
 
 def group_share(df: DataFrame, key: str) -> DataFrame:

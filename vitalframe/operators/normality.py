@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +19,6 @@ SAMPLE_LIMIT = 5_000
 
 def _shapiro_of_group():
     """Grouped function: W and p of one variable (Royston 1995, algorithm AS R94)."""
-    import numpy as np
-    import pandas as pd
-
     def shapiro(pdf: pd.DataFrame) -> pd.DataFrame:
         from statistics import NormalDist
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitalframe.functions.numbers import round_half_even
 from vitalframe.operators.counts import melt, quantile_columns, running_totals, value_counts
 
 
@@ -39,5 +40,5 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFram
             F.coalesce(F.sum(F.when(beyond, F.col("n"))), F.lit(0)).alias("n_outliers"),
         )
     )
-    pct = F.round(F.col("n_outliers") / F.col("n") * 100, 2)
+    pct = round_half_even(F.col("n_outliers") / F.col("n") * 100, 2)
     return counted.withColumn("pct_outliers", pct)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitalframe.functions.numbers import round_half_even
 from vitalframe.operators.counts import melt, quantile_columns, running_totals, value_counts
 
 NUMERIC_TYPES = ("double", "float", "int", "bigint", "smallint", "tinyint")
@@ -86,7 +87,7 @@ def variable_profile(
     filled = listed.join(stats, "column", "left").na.fill(
         0, ["n_unique", "n_null", "n_rows"]
     )
-    pct = F.when(F.col("n_rows") > 0, F.round(F.col("n_null") / F.col("n_rows") * 100, 1))
+    pct = F.when(F.col("n_rows") > 0, round_half_even(F.col("n_null") / F.col("n_rows") * 100, 1))
     return filled.select(
         "position", "column", "description", "type", "n_unique", "n_null",
         pct.alias("pct_null"), "n_rows",
@@ -102,7 +103,7 @@ def missingness(df: DataFrame, min_pct: float = 0.0, cols: Sequence[str] | None
             c: F.struct(
                 F.lit(c).alias("column"),
                 F.count_if(F.col(c).isNull()).alias("n_null"),
-                F.round(F.count_if(F.col(c).isNull()) / F.count("*") * 100, 1).alias("pct_null"),
+                round_half_even(F.count_if(F.col(c).isNull()) / F.count("*") * 100, 1).alias("pct_null"),
             )
             for c in cols
         },
@@ -212,7 +213,7 @@ def numeric_shape(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         "mode",
         "skew",
         "kurtosis",
-        F.round(F.try_divide("std", "mean") * 100, 2).alias("cv_pct"),
+        round_half_even(F.try_divide("std", "mean") * 100, 2).alias("cv_pct"),
         (F.col("q75") - F.col("q25")).alias("iqr"),
     )
 
@@ -240,7 +241,7 @@ def summarize(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
             (F.stddev_samp(x) if numeric else x).alias("std"),
             quartiles.alias("q"),
             F.count("*").alias("count"),
-            F.round(F.count_if(col.isNull()) / F.count("*") * 100, 2).alias("null_percentage"),
+            round_half_even(F.count_if(col.isNull()) / F.count("*") * 100, 2).alias("null_percentage"),
         )
 
     rows = per_column(df, {c: stats(c) for c in cols})

@@ -128,15 +128,14 @@ def run_load(
     is given; ``reload`` then drops all stored documents first.
     """
     inventory = landing.scan(spark, landing_dir)
-    candidates = landing.loadable_files(inventory, dataset)
+    candidates = landing.mark_latest(landing.loadable_files(inventory, dataset))
     everything = candidates.orderBy("filename").collect()
-    kept = {r["filename"] for r in landing.latest_per_year(candidates).collect()}
-    files = [f for f in everything if f["filename"] in kept]
+    files = [f for f in everything if f["is_latest"]]
     if not files:
         raise ValueError(f"no loadable files for {dataset or 'any dataset'} in {landing_dir}")
 
     result = LoadResult(report=None, datasets=[])  # type: ignore[arg-type]
-    result.superseded = [f["filename"] for f in everything if f["filename"] not in kept]
+    result.superseded = [f["filename"] for f in everything if not f["is_latest"]]
     harmonised = harmonise_landing(spark, files, labels or {}, result)
     for name, df in harmonised.items():
         curated.write_curated(df, curated_dir, name)

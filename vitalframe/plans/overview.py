@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitalframe.functions.numbers import round_half_even
 from vitalframe.operators.frequency import distribution
 from vitalframe.operators.profile import analysis_columns
 from vitalframe.plans.api import yearly_counts
@@ -44,7 +45,7 @@ def loaded_share(loaded: DataFrame, stored: DataFrame) -> DataFrame:
     """``(n_loaded, n_stored, pct)`` of a loaded subset in the stored table."""
     total = stored.agg(F.count("*")).scalar()
     counts = loaded.agg(F.count("*").alias("n_loaded")).withColumn("n_stored", total)
-    return counts.withColumn("pct", F.round(F.col("n_loaded") / F.col("n_stored") * 100, 1))
+    return counts.withColumn("pct", round_half_even(F.col("n_loaded") / F.col("n_stored") * 100, 1))
 
 
 def temporal_overview(df: DataFrame, month: str = "mesocu") -> tuple[DataFrame, DataFrame]:

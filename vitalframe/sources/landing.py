@@ -6,7 +6,8 @@ is too large for one. Row counts of all vintages come from a single job.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -105,21 +106,31 @@ def probe(spark: SparkSession, folder: str, name: str) -> tuple:
     return (name, path, len(schema), schema.names, labels, None)
 
 
+def in_parallel(step: Callable, items: Sequence) -> list:
+    """Run a short driver-side step for many files; the work is waiting on file footers."""
+    if not items:
+        return []
+    with ThreadPool(min(16, len(items))) as pool:
+        return pool.map(step, items)
+
+
 def scan(spark: SparkSession, folder: str) -> DataFrame:
     """Landing inventory, one row per vintage, in name order.
 
     ``(filename, filepath, dataset_type, year, nrows, ncols, columns, column_labels,
     is_duplicate, error)``.
     """
-    plans = [probe(spark, folder, n) for n in vintages(spark, folder)]
+    names = vintages(spark, folder)
+    plans = in_parallel(lambda n: probe(spark, folder, n), names)
     readable = [(p[0], p[1]) for p in plans if p[5] is None]
     found = spark.createDataFrame(plans, PLAN_SCHEMA)
 
     lo, hi = specs.YEAR_RANGE
     named = year_from_name(F.col("filename"), lo, hi)
     undated = {r["filename"] for r in found.where(named.isNull()).select("filename").collect()}
-    dated = {n: year_from_data(read_vintage(spark, p)) for n, p in readable if n in undated}
-    from_data = [(n, y) for n, y in dated.items() if y is not None]
+    probes = [(n, p) for n, p in readable if n in undated]
+    years = in_parallel(lambda f: year_from_data(read_vintage(spark, f[1])), probes)
+    from_data = [(n, y) for (n, _), y in zip(probes, years) if y is not None]
     probed = spark.createDataFrame(from_data, "filename string, _data_year int")
 
     counts = row_counts(spark, readable)
@@ -175,10 +186,10 @@ def quarantined_files(inventory: DataFrame) -> DataFrame:
     ).where(F.col("reason").isNotNull())
 
 
-def latest_per_year(files: DataFrame) -> DataFrame:
-    """Of several files with the same type and year, the last by name wins."""
+def mark_latest(files: DataFrame) -> DataFrame:
+    """Add ``is_latest``: of several files with the same type and year, the last by name."""
     same = Window.partitionBy("dataset_type", "year").orderBy(F.desc("filename"))
-    return files.withColumn("_r", F.row_number().over(same)).where(F.col("_r") == 1).drop("_r")
+    return files.withColumn("is_latest", F.row_number().over(same) == 1)
 
 
 def scan_summary(inventory: DataFrame) -> DataFrame:
