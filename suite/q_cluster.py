@@ -93,7 +93,7 @@ def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster sizes of the fit over all rows of the mixed death features."""
     scaled, features = _scaled(spark, sf_dir)
-    vectors = clustering.to_vectors(scaled, features).persist()
+    vectors = clustering.to_vectors(scaled, features)
     placed, _ = clustering.assign_clusters(vectors, 5, n_init=2)
     sizes = count_by(placed, "cluster")
     total = sizes.agg(F.sum("n")).scalar()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.operators.association import correlations
-from vitalframe.operators.counts import quantile_columns, running_totals, value_counts
+from vitalframe.operators.counts import quantiles_of_counts, value_counts
 from vitalframe.operators.sampling import sample_rows
 
 
@@ -46,9 +46,9 @@ def _box_base(df: DataFrame, col: str, by: str | None, whisker: float) -> tuple:
     source = df if by else df.withColumn("_all", F.lit(0))
     flat = source.select(*keys, F.col(col).cast("double").alias("value"))
     counts = value_counts(flat, "value", keys)
-    quartiles = running_totals(counts, "value", keys).groupBy(*keys).agg(
-        *quantile_columns({"q1": 0.25, "median": 0.5, "q3": 0.75}), F.sum("n").alias("n_values")
-    )
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    quartiles = quantiles_of_counts(counts, probs, keys, few_groups=by is None)
+    quartiles = quartiles.withColumnRenamed("n", "n_values")
     reach = (F.col("q3") - F.col("q1")) * whisker
     limits = quartiles.withColumn("lower", F.col("q1") - reach).withColumn(
         "upper", F.col("q3") + reach

@@ -115,6 +115,11 @@ def to_vectors(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ())
     return df.select(*keep, array_to_vector(packed).alias("features"))
 
 
+def spread(vectors: DataFrame) -> DataFrame:
+    """Even partitions of a useful size before many passes, and kept for those passes."""
+    return vectors.hint("rebalance").persist()
+
+
 def fit_kmeans(
     vectors: DataFrame, k: int, n_init: int = 10, seed: int = 42, parallelism: int = 4
 ) -> KMeansModel:
@@ -236,7 +241,8 @@ def assign_clusters(
     vectors: DataFrame, k: int, n_init: int = 10, seed: int = 42, parallelism: int = 4
 ) -> tuple[DataFrame, KMeansModel]:
     """Fit on all rows and add ``cluster``; clusters are numbered by falling size."""
-    model = fit_kmeans(vectors, k, n_init, seed, parallelism)
+    vectors = spread(vectors)
+    model = fit_kmeans(vectors.select("features"), k, n_init, seed, parallelism)
     sizes = model.summary.clusterSizes
     order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
     rank = F.array(*[F.lit(order.index(i)) for i in range(len(sizes))])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.functions.numbers import round_half_even
-from vitalframe.operators.counts import melt, quantile_columns, running_totals, value_counts
+from vitalframe.operators.counts import melt, quantiles_of_counts, value_counts
 
 
 def outside(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
@@ -19,13 +19,13 @@ def outside(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """``(column, q1, q3, iqr, lower, upper, n, n_outliers, pct_outliers)``; skips flat columns.
 
-    Quartiles and outlier counts both come from the value counts, so the data is read once.
+    Quartiles and outlier counts both come from the value counts, so the data is read once. The
+    broadcast limits are one row per listed column.
     """
     counts = value_counts(melt(df, cols), "value", ["column"])
     quartiles = (
-        running_totals(counts, "value", ["column"])
-        .groupBy("column")
-        .agg(*quantile_columns({"q1": 0.25, "q3": 0.75}))
+        quantiles_of_counts(counts, {"q1": 0.25, "q3": 0.75}, ["column"], few_groups=True)
+        .drop("n")
         .withColumn("iqr", F.col("q3") - F.col("q1"))
         .where(F.col("iqr") != 0)
         .withColumn("lower", F.col("q1") - k * F.col("iqr"))
@@ -33,7 +33,7 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFram
     )
     beyond = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
     counted = (
-        counts.join(quartiles, "column")
+        counts.join(F.broadcast(quartiles), "column")
         .groupBy("column", "q1", "q3", "iqr", "lower", "upper")
         .agg(
             F.sum("n").alias("n"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.functions.numbers import round_half_even
-from vitalframe.operators.counts import melt, quantile_columns, running_totals, value_counts
+from vitalframe.operators.counts import exact_quantiles, melt, numeric_modes, value_counts
 
 NUMERIC_TYPES = ("double", "float", "int", "bigint", "smallint", "tinyint")
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -170,12 +170,15 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return per_column(df, {c: stats(c) for c in cols})
 
 
+def quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, q25, q50, q75)`` with linear interpolation."""
+    return exact_quantiles(df, cols, QUARTILES)
+
+
 def order_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(column, q25, q50, q75, mode)`` from value counts; smallest mode on ties."""
-    counts = value_counts(melt(df, cols), "value", ["column"])
-    totals = running_totals(counts, "value", ["column"])
-    mode = F.max_by("value", F.struct(F.col("n"), -F.col("value"))).alias("mode")
-    return totals.groupBy("column").agg(*quantile_columns(QUARTILES), mode)
+    """``(column, q25, q50, q75, mode)``; smallest mode on ties."""
+    modes = numeric_modes(value_counts(melt(df, cols), "value", ["column"]), ["column"])
+    return quartiles(df, cols).join(modes, "column")
 
 
 def numeric_describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
@@ -195,12 +198,12 @@ def numeric_describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -
                 for c in cols
             },
         )
-        quartiles = sketches.select(
+        points = sketches.select(
             "column", *[F.col("q")[i].alias(name) for i, name in enumerate(QUARTILES)]
         )
     else:
-        quartiles = order_statistics(df, cols)
-    joined = moments(df, cols).join(quartiles, "column", "left")
+        points = quartiles(df, cols)
+    joined = moments(df, cols).join(points, "column", "left")
     return joined.select("column", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 

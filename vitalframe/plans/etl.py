@@ -73,28 +73,37 @@ def harmonise_landing(
     result: LoadResult,
 ) -> dict[str, DataFrame]:
     """Decoded and harmonised union per dataset. A file that fails is reported and skipped."""
-    raw: dict[str, DataFrame] = {}
-    for f in files:
+
+    def read(f) -> DataFrame | str:
         try:
-            raw[f["filename"]] = landing.read_vintage(spark, f["filepath"])
+            return landing.read_vintage(spark, f["filepath"])
         except landing.READ_ERRORS as e:
-            result.errors[f["filename"]] = landing.first_line(e)
+            return landing.first_line(e)
+
+    opened = dict(zip((f["filename"] for f in files), landing.in_parallel(read, files)))
+    raw = {name: df for name, df in opened.items() if isinstance(df, DataFrame)}
+    result.errors.update({name: e for name, e in opened.items() if isinstance(e, str)})
     ratios = vintage_ratios(raw, labels)
-    per_dataset: dict[str, list[DataFrame]] = {}
-    for f in files:
+
+    def shape(f) -> tuple[DataFrame, dict] | str:
         name, dataset = f["filename"], f["dataset_type"]
-        if name not in raw:
-            continue
         try:
             decoded = decode_with_ratios(raw[name], labels.get(name, {}), ratios.get(name, {}))
-            clash = alias_clashes(decoded, dataset)
-            shaped = harmonize(decoded, dataset, f["year"], name)
+            clashes = alias_clashes(decoded, dataset)
+            return harmonize(decoded, dataset, f["year"], name), clashes
         except landing.READ_ERRORS as e:
-            result.errors[name] = landing.first_line(e)
+            return landing.first_line(e)
+
+    readable = [f for f in files if f["filename"] in raw]
+    per_dataset: dict[str, list[DataFrame]] = {}
+    for f, shaped in zip(readable, landing.in_parallel(shape, readable)):
+        if isinstance(shaped, str):
+            result.errors[f["filename"]] = shaped
             continue
-        if clash:
-            result.clashes[name] = clash
-        per_dataset.setdefault(dataset, []).append(shaped)
+        df, clashes = shaped
+        if clashes:
+            result.clashes[f["filename"]] = clashes
+        per_dataset.setdefault(f["dataset_type"], []).append(df)
     return {d: union_vintages(frames) for d, frames in per_dataset.items()}
 
 
