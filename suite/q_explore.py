@@ -10,7 +10,8 @@ from suite.q_query import MEASURES
 from suite.registry import query, rounded
 from vitalframe.functions.text import contains_ignore_case
 from vitalframe.operators import association, charts, crosstab, frequency, outliers
-from vitalframe.operators.counts import count_by, min_max_by_score
+from vitalframe.operators import counts
+from vitalframe.operators.counts import count_by
 from vitalframe.operators.sampling import sample_per_group
 from vitalframe.plans import hypotheses
 
@@ -326,7 +327,7 @@ def merge_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def arg_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label with the most rows, the smallest on ties."""
     sizes = count_by(table(spark, sf_dir, "embeddings"), "label")
-    return min_max_by_score(sizes, "label", "n")
+    return counts.arg_max(sizes, "label", "n")
 
 
 @query(

@@ -361,7 +361,7 @@ def column_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
       round(sqrt(o_totalprice), 4) AS root, round(o_totalprice / 7, 2) AS ratio,
       CASE WHEN o_orderstatus = 'F' THEN 'rural' ELSE 'other' END AS bucket,
       coalesce(CASE o_orderstatus WHEN 'O' THEN 'open' END, o_orderstatus) AS looked_up,
-      o_orderstatus IN ('F', 'P') AS member
+      o_orderstatus IN ('F', 'P') AS member, format('{:,.2f}', o_totalprice) AS shown
     FROM orders"""
 )
 def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,6 +386,7 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(status == "F", "rural").otherwise("other").alias("bucket"),
         F.coalesce(F.try_element_at(known, status), status).alias("looked_up"),
         F.array_contains(F.array(F.lit("F"), F.lit("P")), status).alias("member"),
+        F.format_number(price, 2).alias("shown"),
     )
 
 

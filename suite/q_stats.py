@@ -12,11 +12,9 @@ from vitalframe.operators import association, crosstab, normality
 from vitalframe.operators.counts import midranks, value_counts
 from vitalframe.plans import hypotheses
 
-# Upper tail of chi-square as 1 minus the series of the lower incomplete gamma function.
-_TERM = "exp((a + i) * ln(x) - x - lgamma(a + i + 1))"
-
 
 def _chi2_tail_sql(statistic: str, dof: str) -> str:
+    """Upper tail of chi-square as 1 minus the series of the lower incomplete gamma function."""
     a, x = f"({dof} / 2.0)", f"greatest({statistic} / 2.0, 1e-12)"
     term = f"exp(({a} + i) * ln({x}) - {x} - lgamma({a} + i + 1))"
     return f"(1 - list_sum(list_transform(range(0, 400), lambda i: {term})))"
@@ -301,3 +299,18 @@ def h5_area_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {deaths_sql('asist', 'areag')} {_GAP_SQL}")
 def h5_area_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(hypotheses.area_gap(deaths(spark, sf_dir, "asist", "areag")))
+
+
+@query(
+    f"""WITH {deaths_sql('areag', 'asist')}, {_chi2_sql(_AREA_CELLS, 'areag', 'k')}, t AS (
+      SELECT CASE WHEN statistic < 300 THEN {_chi2_tail_sql('statistic', 'dof')} ELSE 0 END AS p FROM stats)
+    SELECT CASE WHEN p < 0.05 THEN 'reject H0' ELSE 'keep H0' END AS at_5_percent,
+      CASE WHEN p < 0.999999 THEN 'reject H0' ELSE 'keep H0' END AS at_any FROM t"""
+)
+def test_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decision texts of one test at two levels."""
+    tested = hypotheses.area_test(deaths(spark, sf_dir, "areag", "asist"))
+    p = F.col("p_value")
+    return tested.select(
+        association.decision(p).alias("at_5_percent"), association.decision(p, 0.999999).alias("at_any")
+    )

@@ -175,6 +175,22 @@ def test_stream_loads_new_files(spark, folder, tmp_path):
     assert rows(count_by(deaths, "_year")) == [(2012, 3), (2013, 2)]
 
 
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from vitalframe.sources.scratch import scratch_root
+
+    def session(master, setting=None):
+        conf = SimpleNamespace(get=lambda key, default=None: setting)
+        context = SimpleNamespace(master=master, applicationId=master, getConf=lambda: conf)
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    assert scratch_root(session("yarn", "/shared/tmp/")) == "/shared/tmp"
+    assert scratch_root(session("local[2]")) == scratch_root(session("local[2]"))
+    with pytest.raises(RuntimeError):
+        scratch_root(session("yarn"))
+
+
 def test_labels_table(spark):
     df = spark.createDataFrame([("f", "c", 1.0, "x"), ("f", "c", 2.0, "y")], "filename string, column string, code double, label string")
     assert etl.labels_from_frame(df) == {"f": {"c": {1.0: "x", 2.0: "y"}}}

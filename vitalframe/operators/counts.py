@@ -106,7 +106,7 @@ def _in_slices(counts: DataFrame, value: str, slices: int | None) -> DataFrame:
     # both use one shuffle.
     carried = [F.max(c).alias(f"c{i}") for i, c in enumerate(counts.columns) if c != value]
     cuts = counts.agg(
-        F.struct(F.percentile_approx(x, probs, slices * 10).alias("at"), *carried)
+        F.struct(F.percentile_approx(x, probs, slices * 4).alias("at"), *carried)
     ).scalar()
     placed = counts.withColumn("_cuts", cuts["at"])
     return placed.withColumn("_slice", slice_of(F.col("_cuts"), x, slices)).drop("_cuts")
@@ -250,7 +250,7 @@ def midranks(counts: DataFrame, value: str, n: str = "n") -> DataFrame:
     return ranked.withColumn("midrank", F.col("before") + (F.col(n) + 1) / 2)
 
 
-def min_max_by_score(df: DataFrame, key: str, score: str) -> DataFrame:
+def arg_max(df: DataFrame, key: str, score: str) -> DataFrame:
     """Key with the highest score, the smallest key on ties."""
     best = F.max_by(key, F.struct(F.col(score), -F.col(key)))
     return df.agg(best.alias(key), F.max(score).alias(score))

@@ -8,18 +8,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local folder only in local mode."""
+    """The cluster's shared checkpoint folder; a local folder only in local mode without one."""
     shared = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if shared:
         return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="vitalframe-")
-        spark.conf.set(_SETTING, folder)
-        return folder
-    raise RuntimeError(f"set {_SETTING} to a folder shared by all executors")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"set {_SETTING} to a folder shared by all executors")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="vitalframe-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
