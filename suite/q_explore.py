@@ -335,5 +335,5 @@ def arg_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sample_per_group_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
-    picked = sample_per_group(keyed, "l_returnflag", 100, key=["l_orderkey", "l_linenumber"])
+    picked = sample_per_group(keyed, "l_returnflag", ("A", "N", "R"), 100, key=["l_orderkey", "l_linenumber"])
     return count_by(picked, "l_returnflag")

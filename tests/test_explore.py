@@ -85,6 +85,19 @@ def test_keyed_sample_equals_full_sort(spark):
     assert rows(scored) == rows(sampling.sample_rows(df, 64, key=["id"]))
 
 
+def test_group_samples_equal_full_ranking(spark):
+    # One group holds most rows; the result must match ranking everything.
+    df = spark.range(9_000).selectExpr("id", "CASE WHEN id % 100 = 0 THEN 'rare' ELSE 'hot' END AS g")
+    got = sampling.sample_per_group(df, "g", ["hot", "rare", "absent"], 50, key=["id"])
+    scored = df.withColumn("s", sampling.sample_score(42, ["id", "g"])).collect()
+    want = []
+    for g in ("hot", "rare"):
+        best = sorted((r["s"], r["id"]) for r in scored if r["g"] == g)[:50]
+        want += [(i, g) for _, i in best]
+    assert rows(got) == sorted(want)
+    assert sampling.sample_per_group(df, "g", ["rare"], 5_000).count() == 90
+
+
 def test_profile_roles(spark):
     df = spark.createDataFrame(
         [(2012.0, float(i), "x" if i % 2 else None, None) for i in range(10)],

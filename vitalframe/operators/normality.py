@@ -100,7 +100,7 @@ def shapiro_wilk(
     skew comes from all rows.
     """
     long = melt(df, cols, by=key).dropna(subset=["value"])
-    sampled = sample_per_group(long, "column", n, seed, key).select("column", "value")
+    sampled = sample_per_group(long, "column", cols, n, seed, key).select("column", "value")
     tested = sampled.groupBy("column").applyInPandas(
         _shapiro_of_group(), "column string, n_sample long, w double, p_value double"
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LEVELS = 40
+_BOUNDS = [0.5**i for i in range(40)]
 
 
 def sample_score(seed: int = 42, key: Sequence[str] = ()) -> Column:
@@ -21,6 +21,17 @@ def sample_score(seed: int = 42, key: Sequence[str] = ()) -> Column:
     return bits / F.lit(float(2**53))
 
 
+def _kept_per_bound(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows under each power-of-two score bound, as an array ``kept``; partial sums only."""
+    kept = [F.count_if(F.col("_score") < b) for b in _BOUNDS]
+    return scored.groupBy(*by).agg(F.array(*kept).alias("kept"))
+
+
+def _tightest(kept: Sequence[int], n: int) -> float:
+    """Smallest score bound that leaves at least ``n`` rows; 1 when there are fewer."""
+    return min((b for b, k in zip(_BOUNDS, kept) if k >= n), default=1.0)
+
+
 def sample_rows(
     df: DataFrame, n: int, seed: int = 42, key: Sequence[str] = (), keep_score: bool = False
 ) -> DataFrame:
@@ -32,24 +43,35 @@ def sample_rows(
     the filter.
     """
     scored = df.withColumn("_score", sample_score(seed, key))
-    bounds = [0.5**i for i in range(_LEVELS)]
-    found = scored.agg(
-        *[F.count_if(F.col("_score") < b).alias(f"b{i}") for i, b in enumerate(bounds)]
-    ).first()
-    fitting = [b for i, b in enumerate(bounds) if found[i] >= n]
-    bound = min(fitting, default=1.0)
+    bound = _tightest(_kept_per_bound(scored).first()["kept"], n)
     picked = scored if bound == 1.0 else scored.where(F.col("_score") < bound)
     picked = picked.orderBy("_score").limit(n)
     return picked if keep_score else picked.drop("_score")
 
 
 def sample_per_group(
-    df: DataFrame, by: str, n: int, seed: int = 42, key: Sequence[str] = ()
+    df: DataFrame,
+    by: str,
+    groups: Sequence[str],
+    n: int,
+    seed: int = 42,
+    key: Sequence[str] = (),
 ) -> DataFrame:
-    """Up to ``n`` random rows of each group; Spark cuts each map task to ``n`` rows per group."""
-    scored = df.withColumn("_score", sample_score(seed, [*key, by] if key else ()))
+    """Up to ``n`` random rows of each listed group.
+
+    As in :func:`sample_rows`, one planning aggregate (a row per listed group) gives each group a
+    score bound. Only a small multiple of ``n`` rows per group is shuffled and ranked.
+    """
+    scored = df.where(F.col(by).isin(*groups)).withColumn(
+        "_score", sample_score(seed, [*key, by] if key else ())
+    )
+    found = {r[by]: _tightest(r["kept"], n) for r in _kept_per_bound(scored, [by]).collect()}
+    bound = F.lit(1.0)
+    for group, b in found.items():
+        bound = F.when(F.col(by) == group, F.lit(b)).otherwise(bound)
     rank = F.row_number().over(Window.partitionBy(by).orderBy("_score"))
-    return scored.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank", "_score")
+    picked = scored.where(F.col("_score") < bound).withColumn("_rank", rank)
+    return picked.where(F.col("_rank") <= n).drop("_rank", "_score")
 
 
 def first_rows(sampled: DataFrame, n: int) -> DataFrame:
