@@ -27,9 +27,13 @@ def _kept_per_bound(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return scored.groupBy(*by).agg(F.array(*kept).alias("kept"))
 
 
-def _tightest(kept: Sequence[int], n: int) -> float:
-    """Smallest score bound that leaves at least ``n`` rows; 1 when there are fewer."""
-    return min((b for b, k in zip(_BOUNDS, kept) if k >= n), default=1.0)
+def _tightest(kept: Sequence[int], n: int, keyed: bool) -> float:
+    """Smallest score bound that leaves at least ``n`` rows; 1 when there are fewer.
+
+    Scores from ``rand`` may be drawn anew when the data is read again, so they get a margin.
+    """
+    need = n if keyed else 2 * n + 50
+    return min((b for b, k in zip(_BOUNDS, kept) if k >= need), default=1.0)
 
 
 def sample_rows(
@@ -43,7 +47,7 @@ def sample_rows(
     the filter.
     """
     scored = df.withColumn("_score", sample_score(seed, key))
-    bound = _tightest(_kept_per_bound(scored).first()["kept"], n)
+    bound = _tightest(_kept_per_bound(scored).first()["kept"], n, bool(key))
     picked = scored if bound == 1.0 else scored.where(F.col("_score") < bound)
     picked = picked.orderBy("_score").limit(n)
     return picked if keep_score else picked.drop("_score")
@@ -65,7 +69,8 @@ def sample_per_group(
     scored = df.where(F.col(by).isin(*groups)).withColumn(
         "_score", sample_score(seed, [*key, by] if key else ())
     )
-    found = {r[by]: _tightest(r["kept"], n) for r in _kept_per_bound(scored, [by]).collect()}
+    planned = _kept_per_bound(scored, [by]).collect()
+    found = {r[by]: _tightest(r["kept"], n, bool(key)) for r in planned}
     bound = F.lit(1.0)
     for group, b in found.items():
         bound = F.when(F.col(by) == group, F.lit(b)).otherwise(bound)
