@@ -47,6 +47,11 @@ def test_dictionary_keys_are_title_cased(spark):
     assert df.where(text.title_case(F.col("k")) != F.col("k")).count() == 0
 
 
+def test_strip_takes_all_white_space(spark):
+    df = spark.createDataFrame([("\t\u00a0 a b \u3000\n",), ("   ",)], "t string")
+    assert [r[0] for r in df.select(text.strip(F.col("t"))).collect()] == ["a b", ""]
+
+
 def test_short_label_and_slug(spark):
     df = spark.createDataFrame([("Edad del difunto Nota: en años",), ("x" * 50,)], "t string")
     out = [r[0] for r in df.select(text.short_label(F.col("t"))).collect()]
