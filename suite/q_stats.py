@@ -307,7 +307,7 @@ def h5_area_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT CASE WHEN p < 0.05 THEN 'reject H0' ELSE 'keep H0' END AS at_5_percent,
       CASE WHEN p < 0.999999 THEN 'reject H0' ELSE 'keep H0' END AS at_any FROM t"""
 )
-def test_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def decision_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision texts of one test at two levels."""
     tested = hypotheses.area_test(deaths(spark, sf_dir, "areag", "asist"))
     p = F.col("p_value")

@@ -62,7 +62,10 @@ def harmonize(
         parts = [
             clean_value(F.col(f"`{c}`"), spec.name, types[c], spec.type) for c in found[spec.name]
         ]
-        value = F.coalesce(*parts) if parts else F.lit(None).cast(spec.type)
+        if not parts:
+            projected.append(F.expr(f"CAST(NULL AS {spec.type}) AS {spec.name}"))
+            continue
+        value = F.coalesce(*parts) if len(parts) > 1 else parts[0]
         projected.append(value.alias(spec.name))
     year = year if isinstance(year, Column) else F.lit(year)
     source = source_file if isinstance(source_file, Column) else F.lit(source_file)
