@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalframe.llm.decontaminate import find_leaks
+from vitalframe.llm.jaccard import near_copies
 from vitalframe.llm.mixing import mix
 from vitalframe.llm.sharding import reshard
 from vitalframe.llm.substrings import remove_repeats
@@ -126,3 +127,22 @@ def op9_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
     )
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(3, len(w)) - 1], ' ') AS x
+  FROM d, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s AS a JOIN s AS b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM c JOIN n AS na ON a = na.doc_id JOIN n AS nb ON b = nb.doc_id WHERE 100 * common >= 90 * (na.n + nb.n - common)),
+r AS (SELECT doc_id, doc_id AS m FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.m = e.a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, (SELECT min(m) FROM r WHERE r.doc_id = d.doc_id) AS component_id FROM d LEFT JOIN n USING (doc_id)
+"""
+
+
+@query(JACCARD_SQL)
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(_table(spark, sf_dir, "documents"), k=3, percent=90)
