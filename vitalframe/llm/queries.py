@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vitalframe.llm.decontaminate import find_leaks
 from vitalframe.llm.jaccard import near_copies
 from vitalframe.llm.mixing import mix
+from vitalframe.llm.ppm import score_texts
 from vitalframe.llm.sharding import reshard
 from vitalframe.llm.substrings import remove_repeats
 
@@ -146,3 +147,13 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, (SELECT min(m) FROM r WHE
 @query(JACCARD_SQL)
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(_table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+def _remainder(n: int):
+    """crc32 of the document id as text, modulo n."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
+
+
+@query()
+def op7_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"), held_out=_remainder(5) == 1)
