@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from vitalframe.llm.decontaminate import find_leaks
 from vitalframe.llm.jaccard import near_copies
+from vitalframe.llm.langid import identify, learn_filter
 from vitalframe.llm.mixing import mix
 from vitalframe.llm.ppm import score_texts
 from vitalframe.llm.sharding import reshard
 from vitalframe.llm.substrings import remove_repeats
+from vitalframe.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -157,3 +159,23 @@ def _remainder(n: int):
 @query()
 def op7_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"), held_out=_remainder(5) == 1)
+
+
+@query()
+def op2_language_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    bloom = learn_filter(docs, learn=_remainder(3) != 1)
+    named = identify(docs.select("doc_id", "text"), bloom)
+    return named.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query()
+def op4_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, _table(spark, sf_dir, "labels"), fit=_remainder(5).isin(1, 2, 3), calibrate=_remainder(5) == 4)
+    return scored.select(
+        "doc_id",
+        (_remainder(5) == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
