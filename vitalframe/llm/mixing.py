@@ -72,22 +72,26 @@ def position(demand: Column) -> Column:
     return F.when(rest <= 0, j / segments).otherwise((j + F.least(x, F.lit(1.0))) / segments)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **schedule) -> DataFrame:
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: str | None = None, **schedule
+) -> DataFrame:
     """Decide what training takes of every document, and when.
 
     Within a source, documents stand in a reproducible random order (by a digest of the id, then id and size)
     and are taken from the front, again from the front where the target asks for more than the source has; the
     document at the cut gives its first words only. Returns (doc_id, source, size, source_size, target, taken,
-    passes): ``passes`` lists (position, words) of each time the document is read, positions from 0 to 1.
+    passes): ``passes`` lists (position, words) of each time the document is read, positions from 0 to 1. ``carry``
+    names a struct column that then holds all columns of ``docs``.
 
     A null text has size 0; documents of size 0 are never taken. Null is a source of its own, sorted last. Rows
     with the same id are documents of their own; if they agree in size as well they are interchangeable. An
     empty table gives an empty one; other columns are ignored.
     """
+    carried = [F.struct(*docs.columns).alias(carry)] if carry else []
     sized = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size")
+        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size"), *carried
     )
-    sources = source_targets(sized, **schedule).withColumnRenamed("source", "_source")
+    sources = source_targets(sized.select("source", "size"), **schedule).withColumnRenamed("source", "_source")
     ordered = sized.withColumn("key", shuffled(F.col("doc_id")))
     ordered = running(ordered, ["source"], "key", ["doc_id", "size"], {"start": F.col("size")})
     rows = ordered.join(sources, F.col("source").eqNullSafe(F.col("_source")))
@@ -104,7 +108,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     )
     rows = rows.withColumn("passes", pieces)
     taken = F.aggregate("passes", F.lit(0).cast("long"), lambda s, p: s + p["words"])
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "passes")
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "passes", *([carry] if carry else []))
 
 
 def curriculum(mixed: DataFrame) -> DataFrame:

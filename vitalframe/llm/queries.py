@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitalframe.llm.chat import link_calls
 from vitalframe.llm.decontaminate import find_leaks
 from vitalframe.llm.jaccard import near_copies
 from vitalframe.llm.langid import identify, learn_filter
 from vitalframe.llm.mixing import mix
 from vitalframe.llm.ppm import score_texts
+from vitalframe.llm.rpforest import near_vectors
 from vitalframe.llm.sharding import reshard
 from vitalframe.llm.substrings import remove_repeats
 from vitalframe.llm.toxicity import score_toxicity
@@ -151,31 +153,84 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
-def _remainder(n: int):
+def id_remainder(n: int):
     """crc32 of the document id as text, modulo n."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
 
 
 @query()
 def op7_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_texts(_table(spark, sf_dir, "documents"), held_out=_remainder(5) == 1)
+    return score_texts(_table(spark, sf_dir, "documents"), held_out=id_remainder(5) == 1)
 
 
 @query()
 def op2_language_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    bloom = learn_filter(docs, learn=_remainder(3) != 1)
+    bloom = learn_filter(docs, learn=id_remainder(3) != 1)
     named = identify(docs.select("doc_id", "text"), bloom)
-    return named.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+    return named.select("doc_id", (id_remainder(3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
 @query()
 def op4_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = score_toxicity(docs, _table(spark, sf_dir, "labels"), fit=_remainder(5).isin(1, 2, 3), calibrate=_remainder(5) == 4)
+    scored = score_toxicity(docs, _table(spark, sf_dir, "labels"), fit=id_remainder(5).isin(1, 2, 3), calibrate=id_remainder(5) == 4)
     return scored.select(
         "doc_id",
-        (_remainder(5) == 0).alias("held_out"),
+        (id_remainder(5) == 0).alias("held_out"),
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+NEAR_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id, vec_id AS m FROM embeddings UNION SELECT r.vec_id, p.b FROM r JOIN p ON r.m = p.a),
+c AS (SELECT vec_id, min(m) AS component_id FROM r GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n FROM p GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, component_id = vec_id AS kept FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
+@query(NEAR_SQL)
+def op8_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+#: The tool that conversations are read as calls of: every question asks it, every answer is its result.
+ASK = {"ask": {"question": ("string", True, 1), "turn": ("integer", True, 0), "words": ("integer", True, 2)}}
+
+CHAT_SQL = r"""
+WITH RECURSIVE q AS (
+  SELECT conv_id || '-' || turn AS call_id, conv_id || '-' || (turn - 2) AS parent, text,  turn,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM conversations WHERE role = 'user'),
+a AS (SELECT conv_id || '-' || (turn - 1) AS call_id, min(text) AS result FROM conversations WHERE role = 'assistant' GROUP BY 1),
+o AS (SELECT call_id, 0::BIGINT AS position FROM q WHERE parent NOT IN (SELECT call_id FROM q)
+  UNION ALL SELECT q.call_id, position + 1 FROM q JOIN o ON q.parent = o.call_id),
+e AS (
+  SELECT *, array_to_string(list_filter([CASE WHEN text IS NULL THEN 'question: missing' WHEN length(text) < 1 THEN 'question: below 1' END,
+    CASE WHEN words IS NULL THEN 'words: missing' WHEN words < 2 THEN 'words: below 2' END], lambda x: x IS NOT NULL), '; ') AS errors FROM q)
+SELECT coalesce(e.call_id, a.call_id) AS call_id, position,
+  CASE WHEN e.call_id IS NULL THEN 'orphan' WHEN a.call_id IS NULL THEN 'unanswered' WHEN errors <> '' THEN 'invalid' ELSE 'ok' END AS status,
+  coalesce(errors, '') AS errors,
+  '{"arguments":' || CASE WHEN e.call_id IS NULL THEN 'null' ELSE '{"question":' || to_json(text) || ',"turn":' || turn || ',"words":' || words || '}' END
+    || ',"id":"' || coalesce(e.call_id, a.call_id) || '","name":' || CASE WHEN e.call_id IS NULL THEN 'null' ELSE '"ask"' END
+    || ',"result":' || coalesce(to_json(result)::VARCHAR, 'null') || '}' AS json
+FROM e FULL JOIN a ON e.call_id = a.call_id LEFT JOIN o ON o.call_id = e.call_id
+"""
+
+
+@query(CHAT_SQL)
+def op5_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    at = lambda back: F.concat(F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - back).cast("string"))
+    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    calls = turns.where("role = 'user'").select(
+        at(0).alias("call_id"),
+        at(2).alias("parent"),
+        F.lit("ask").alias("name"),
+        F.to_json(F.struct(words.alias("words"), "turn", F.col("text").alias("question"))).alias("arguments"),
+    )
+    results = turns.where("role = 'assistant'").select(at(1).alias("call_id"), F.col("text").alias("content"))
+    return link_calls(calls, results, ASK)
