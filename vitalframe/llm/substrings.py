@@ -38,19 +38,33 @@ def _wide(packed: np.ndarray, n_bytes: int) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
-def _flags(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """Repeated windows by document: ids, and six bytes of each hash."""
-    order = np.argsort(doc, kind="stable")
-    ids, at = np.unique(doc[order], return_index=True)
-    packed, ends = _narrow(h[order], 6), [*at[1:], len(order)]
-    return ids, [packed[6 * a : 6 * b].tobytes() for a, b in zip(at, ends)]
+def _packed(doc: np.ndarray, h: np.ndarray, n_bytes: int) -> bytes:
+    """Hashes by document: the documents, how many hashes each has, the low bytes of each hash."""
+    ids, counts = np.unique(doc, return_counts=True)
+    head = np.array([len(ids)], np.uint32).tobytes() + np.diff(ids, prepend=0).tobytes() + counts.astype(np.uint32).tobytes()
+    return head + _narrow(h[np.argsort(doc, kind="stable")], n_bytes).tobytes()
 
 
-_SENT = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("blob", pa.binary())])
+def _unpacked(blob: pa.Scalar, n_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(blob.as_buffer(), np.uint8)
+    n = int(raw[:4].view(np.uint32)[0])
+    ids, counts = np.cumsum(raw[4 : 4 + 8 * n].view(np.int64)), raw[4 + 8 * n : 4 + 12 * n].view(np.uint32)
+    return np.repeat(ids, counts), _wide(raw[4 + 12 * n :], n_bytes)
 
 
-def _send(doc: np.ndarray, h: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
-    """Blobs of one batch: by bucket the documents, how many hashes each has, seven bytes of each hash."""
+def _by(key: np.ndarray, doc: np.ndarray, h: np.ndarray, n_bytes: int) -> tuple[np.ndarray, list[bytes]]:
+    """One blob for each value of ``key``."""
+    order = np.argsort(key, kind="stable")
+    kinds, at = np.unique(key[order], return_index=True)
+    doc, h = doc[order], h[order]
+    return kinds, [_packed(doc[a:b], h[a:b], n_bytes) for a, b in zip(at, [*at[1:], len(order)])]
+
+
+_SENT = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("blob", pa.binary())])
+
+
+def _send(doc: np.ndarray, h: np.ndarray, bits: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Blobs of one batch: seven bytes of each hash by bucket; what the batch itself settles by part of documents."""
     order = np.lexsort((doc, h))
     doc, h = doc[order], h[order]
     fresh = np.append(True, h[1:] != h[:-1]) if len(h) else np.zeros(0, bool)
@@ -58,29 +72,19 @@ def _send(doc: np.ndarray, h: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]
     least = doc[fresh][np.cumsum(fresh) - 1] if len(h) else doc
     late = ~fresh & other & (doc > least)
     if late.any():
-        ids, blobs = _flags(doc[late], h[late])
-        spread = ids % (1 << bits)
-        yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(ids), pa.array(blobs, pa.binary())], schema=_SENT)
+        told, blobs = _by(doc[late] % parts, doc[late], h[late], 6)
+        yield pa.RecordBatch.from_arrays([pa.array(told % (1 << bits)), pa.array(told), pa.array(blobs, pa.binary())], schema=_SENT)
     doc, h = doc[fresh], h[fresh]
-    if not len(h):
-        return
-    bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
-    order = np.lexsort((doc, bucket))
-    doc, h, bucket = doc[order], h[order], bucket[order]
-    kinds, at = np.unique(bucket, return_index=True)
-    blobs = []
-    for a, b in zip(at, [*at[1:], len(h)]):
-        ids, counts = np.unique(doc[a:b], return_counts=True)
-        head = np.array([len(ids)], np.uint32).tobytes() + np.diff(ids, prepend=0).tobytes() + counts.astype(np.uint32).tobytes()
-        blobs.append(head + _narrow(h[a:b], 7).tobytes())
-    none = pa.nulls(len(kinds), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(kinds), none, pa.array(blobs, pa.binary())], schema=_SENT)
-
-
-def _hashing(k: int, bits: int):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if len(h):
+        kinds, blobs = _by((h >> np.uint64(64 - bits)).astype(np.int64), doc, h, 7)
+        none = pa.nulls(len(kinds), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(kinds), none, pa.array(blobs, pa.binary())], schema=_SENT)
+
+
+def _hashing(k: int, bits: int, parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, hashes, held = [], [], 0
-        for part in parts:
+        for part in batches:
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
             for slab in slabs(part.column("text")):
                 slab.split(SPACED)
@@ -89,41 +93,41 @@ def _hashing(k: int, bits: int):
                 hashes.append(h)
                 held += len(slab.data)
                 if held >= BATCH_BYTES:
-                    yield from _send(np.concatenate(docs), np.concatenate(hashes), bits)
+                    yield from _send(np.concatenate(docs), np.concatenate(hashes), bits, parts)
                     docs, hashes, held = [], [], 0
         if docs:
-            yield from _send(np.concatenate(docs), np.concatenate(hashes), bits)
+            yield from _send(np.concatenate(docs), np.concatenate(hashes), bits, parts)
 
     return run
 
 
-def _counting(table: pa.Table) -> pa.Table:
-    """One bucket: which windows of which documents also start in a smaller document."""
-    docs, hashes, ids_out, blobs_out = [], [], [], []
-    for doc, blob in zip(table.column("doc_id").to_pylist(), table.column("blob")):
-        raw = np.frombuffer(blob.as_buffer(), np.uint8)
-        if doc is not None:
-            ids_out.append(np.array([doc]))
-            blobs_out.append(raw.tobytes())
-            continue
-        n = int(raw[:4].view(np.uint32)[0])
-        ids = np.cumsum(raw[4 : 4 + 8 * n].view(np.int64))
-        counts = raw[4 + 8 * n : 4 + 12 * n].view(np.uint32)
-        docs.append(np.repeat(ids, counts))
-        hashes.append(_wide(raw[4 + 12 * n :], 7))
-    if docs:
-        doc, h = np.concatenate(docs), np.concatenate(hashes)
-        order = np.argsort(h)
-        doc, h = doc[order], h[order]
-        fresh = np.append(True, h[1:] != h[:-1])
-        least = np.minimum.reduceat(doc, np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
-        late = doc > least
-        if late.any():
-            ids, blobs = _flags(doc[late], h[late])
-            ids_out.append(ids)
-            blobs_out += blobs
-    ids = np.concatenate(ids_out) if ids_out else np.zeros(0, np.int64)
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "blob": pa.array(blobs_out, pa.binary())})
+def _counting(parts: int):
+    """One bucket: which windows of which documents also start in a smaller document, a blob for each part."""
+
+    def run(table: pa.Table) -> pa.Table:
+        docs, hashes, told, blobs = [], [], [], []
+        for part, blob in zip(table.column("part").to_pylist(), table.column("blob")):
+            if part is not None:
+                told.append(np.array([part]))
+                blobs.append(blob.as_py())
+                continue
+            doc, h = _unpacked(blob, 7)
+            docs.append(doc)
+            hashes.append(h)
+        if docs:
+            doc, h = np.concatenate(docs), np.concatenate(hashes)
+            order = np.argsort(h)
+            doc, h = doc[order], h[order]
+            fresh = np.append(True, h[1:] != h[:-1])
+            least = np.minimum.reduceat(doc, np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
+            late = doc > least
+            kinds, more = _by(doc[late] % parts, doc[late], h[late], 6)
+            told.append(kinds)
+            blobs += more
+        told = np.concatenate(told) if told else np.zeros(0, np.int64)
+        return pa.table({"part": pa.array(told, pa.int64()), "blob": pa.array(blobs, pa.binary())})
+
+    return run
 
 
 def removal(slab: Slab, at: np.ndarray, k: int) -> np.ndarray:
@@ -170,29 +174,46 @@ def intervals(slab: Slab, gone: np.ndarray) -> pa.Array:
 
 
 def _removing(k: int):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            flags = part.column("flags")
-            for slab in slabs(part.column("text")):
-                slab.split(SPACED)
-                at, owner, h = slab.windows(slab.hashes(), k)
-                hit = np.zeros(len(at), bool)
-                ends = np.searchsorted(owner, np.arange(slab.hi - slab.lo + 1))
-                for i in range(slab.lo, slab.hi):
-                    if flags[i].is_valid:
-                        a, b = ends[i - slab.lo], ends[i - slab.lo + 1]
-                        told = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in flags[i].values])
-                        hit[a:b] = np.isin(h[a:b] & np.uint64((1 << 48) - 1), _wide(told, 6))
-                gone = removal(slab, at[hit], k)
-                removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[slab.first])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").slice(slab.lo, slab.hi - slab.lo), pa.array(slab.n_words), pa.array(removed), intervals(slab, gone), joined(slab, ~gone)],
+    """One part of the documents and what was told about it."""
+
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        found = [_unpacked(blob, 6) for blob in told.column("blob")]
+        doc, low = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        order = np.argsort(doc, kind="stable")
+        doc, low = doc[order], low[order]
+        ids = docs.column("doc_id").fill_null(-1).to_numpy()
+        begin, end = np.searchsorted(doc, ids), np.searchsorted(doc, ids, "right")
+        named = docs.column("doc_id").is_valid().to_numpy()
+        out = []
+        for slab in slabs(docs.column("text")):
+            slab.split(SPACED)
+            at, owner, h = slab.windows(slab.hashes(), k)
+            hit = np.zeros(len(at), bool)
+            ends = np.searchsorted(owner, np.arange(slab.hi - slab.lo + 1))
+            for i in np.flatnonzero((end > begin)[slab.lo : slab.hi] & named[slab.lo : slab.hi]):
+                a, b = ends[i], ends[i + 1]
+                hit[a:b] = np.isin(h[a:b] & np.uint64((1 << 48) - 1), low[begin[slab.lo + i] : end[slab.lo + i]])
+            gone = removal(slab, at[hit], k)
+            removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[slab.first])
+            out.append(
+                pa.table(
+                    [docs.column("doc_id").slice(slab.lo, slab.hi - slab.lo), pa.array(slab.n_words), pa.array(removed), intervals(slab, gone), joined(slab, ~gone)],
                     ["doc_id", "n_words", "n_removed", "spans", "kept"],
                 )
+            )
+        return pa.concat_tables(out) if out else _NONE
 
     return run
 
 
+_NONE = pa.table(
+    {
+        "doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()),
+        "spans": pa.array([], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))), "kept": pa.array([], pa.string()),
+    }
+)
+
+
 def remove_repeats(docs: DataFrame, k: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """Remove every word that a repeated window of ``k`` words covers.
 
@@ -203,11 +224,13 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, id_col: str = "doc_id", tex
     Null or empty texts have no words and keep an empty text. Texts under ``k`` words stay whole. Rows with the
     same id don't remove each other's words; each is returned. Rows with a null id stay whole and remove
     nothing. An empty table gives an empty one; other columns are ignored. ``buckets`` (a power of two; by
-    default twice the shuffle width or more) sets how many parts the hashes are counted in.
+    default twice the shuffle width or more) sets how many parts the hashes are counted in, and the documents
+    finished in; a part of either has to fit a task.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     bits = max(1, ((buckets or 2 * width(docs.sparkSession)) - 1).bit_length())
-    sent = slim.where("doc_id IS NOT NULL").mapInArrow(_hashing(k, bits), "bucket long, doc_id long, blob binary")
-    told = sent.groupBy("bucket").applyInArrow(_counting, "doc_id long, blob binary")
-    flags = told.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("blob").alias("flags"))
-    return slim.join(flags, slim.doc_id == flags._id, "left").select("doc_id", "text", "flags").mapInArrow(_removing(k), RESULT)
+    parts = (1 << bits) + 1  # odd, so that ids with a common power of two still spread
+    sent = slim.where("doc_id IS NOT NULL").mapInArrow(_hashing(k, bits, parts), "bucket long, part long, blob binary")
+    told = sent.groupBy("bucket").applyInArrow(_counting(parts), "part long, blob binary")
+    parted = slim.withColumn("part", F.pmod(F.coalesce("doc_id", F.xxhash64("text")), F.lit(parts)))
+    return parted.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_removing(k), RESULT)
