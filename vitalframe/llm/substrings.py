@@ -224,11 +224,11 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, id_col: str = "doc_id", tex
     Null or empty texts have no words and keep an empty text. Texts under ``k`` words stay whole. Rows with the
     same id don't remove each other's words; each is returned. Rows with a null id stay whole and remove
     nothing. An empty table gives an empty one; other columns are ignored. ``buckets`` (a power of two; by
-    default twice the shuffle width or more) sets how many parts the hashes are counted in, and the documents
+    default the shuffle width or more) sets how many parts the hashes are counted in, and the documents
     finished in; a part of either has to fit a task.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    bits = max(1, ((buckets or 2 * width(docs.sparkSession)) - 1).bit_length())
+    bits = max(1, ((buckets or width(docs.sparkSession)) - 1).bit_length())
     parts = (1 << bits) + 1  # odd, so that ids with a common power of two still spread
     sent = slim.where("doc_id IS NOT NULL").mapInArrow(_hashing(k, bits, parts), "bucket long, part long, blob binary")
     told = sent.groupBy("bucket").applyInArrow(_counting(parts), "part long, blob binary")
