@@ -295,11 +295,12 @@ def near_copies(
     star = materialise(star, "pairs")
 
     involved = star.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    texts = materialise(slim.join(involved, F.col("doc_id") == F.col("doc")).select("doc", "text"), "texts")
+    # Texts meet pairs by shuffle at every size: how many documents have candidates isn't bounded.
+    texts = materialise(slim.join(involved.hint("merge"), F.col("doc_id") == F.col("doc")).select("doc", "text"), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        with_b = pairs.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
-        with_a = with_b.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
+        with_b = pairs.hint("merge").join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
+        with_a = with_b.hint("merge").join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
         return with_a.select("a", "b", "text_a", "text_b").mapInArrow(_verifying(k, percent), "a long, b long").distinct()
 
     # Two texts under one id are one node: their classes are linked.
