@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,9 @@ from vitalframe.llm.text import LOWER, SPACED, mixed, slabs
 from vitalframe.sources.scratch import materialise
 
 #: Size of a band's largest set over its smallest.
-BAND = 1.5
+BAND = 1.25
+#: Elements that a signature of a band's smallest set should have on average.
+DENSE = 4
 #: Bytes of text whose signatures travel as one blob per bucket.
 BATCH_BYTES = 8 << 20
 #: Parts of the fingerprint that bounds differences, one byte each.
@@ -61,16 +64,20 @@ class Band:
 
 
 def bands(largest: int, percent: int) -> list[Band]:
-    """Bands up to the given set size. Cells of one element or so aren't selective: small bands get subsets of three."""
+    """Bands up to the given set size."""
     out, low = [], 1
     while low <= largest:
         high = max(low, int(np.ceil(low * BAND)) - 1)
         k = 2 * high * (100 - percent) // (100 + percent)
-        n2, k2 = (3, 1) if k <= 8 else (2, 1)
-        need = k // (k2 + 1) + 1
-        empty = need * n2 * np.exp(-low * (n2 - k2) / (need * n2))
-        slack = int(np.ceil(empty + 5 * np.sqrt(empty)))
-        out.append(Band(len(out), low, high, need + slack, n2, k2, slack))
+        ways = []
+        for k2, n2 in [(k2, n2) for k2 in range(min(k, 1), min(k, 3) + 1) for n2 in range(k2 + 1, k2 + 5)]:
+            need = k // (k2 + 1) + 1
+            empty = need * comb(n2, k2) * np.exp(-low * (n2 - k2) / (need * n2))
+            slack = int(np.ceil(empty + 4 * np.sqrt(empty))) if need > 1 else 0
+            dense = low * (n2 - k2) / ((need + slack) * n2)
+            ways.append((dense < DENSE, (need + slack) * comb(n2, k2) if dense >= DENSE else -dense, need + slack, n2, k2, slack))
+        _, _, n1, n2, k2, slack = min(ways)
+        out.append(Band(len(out), low, high, n1, n2, k2, slack))
         low = high + 1
     return out
 
@@ -288,10 +295,11 @@ def near_copies(
 
     signed = slim.where("doc_id IS NOT NULL").mapInArrow(_signing(k, percent, bits), "bucket long, blob binary")
     groups = signed.groupBy("bucket").applyInArrow(_grouping, "grp long, doc long")
-    reps = known.where("n_shingles > 0").select(F.col("doc_id").alias("doc"), "rep").distinct()
-    members = materialise(groups.join(reps, "doc").select("grp", F.col("rep").alias("doc")).distinct(), "groups")
-    firsts = members.groupBy("grp").agg(F.min("doc").alias("first"), F.count("*").alias("size")).where("size > 1")
-    star = members.join(firsts, "grp").where("doc <> first").select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct()
+    reps = known.where("n_shingles > 0").select(F.col("doc_id").alias("doc"), "rep", F.col("n_shingles").alias("n")).distinct()
+    members = materialise(groups.join(reps, "doc").select("grp", F.col("rep").alias("doc"), "n").distinct(), "groups")
+    firsts = members.groupBy("grp").agg(F.min("doc").alias("first"), F.min_by("n", "doc").alias("first_n"), F.count("*").alias("size")).where("size > 1")
+    fits = 100 * F.least("n", "first_n") >= percent * F.greatest("n", "first_n")
+    star = members.join(firsts, "grp").where((F.col("doc") != F.col("first")) & fits).select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct()
     star = materialise(star, "pairs")
 
     involved = star.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
@@ -313,7 +321,7 @@ def near_copies(
     mixed_groups = rest.groupBy("grp").agg(
         F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")
     ).where("size > 2 AND c0 <> c1").select("grp", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    rest = materialise(rest.join(mixed_groups, "grp"), "rest")
+    rest = materialise(rest.distinct().join(mixed_groups, "grp"), "rest")
     if rest.limit(1).count():
         wanted = rest.select("doc").distinct()
         marks = texts.join(wanted, "doc", "left_semi").mapInArrow(_fingerprints(k), "doc long, n long, marks binary")
