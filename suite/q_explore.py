@@ -39,7 +39,7 @@ def _frequency_sql(cols: tuple[str, ...], top: int) -> str:
 
 @query(_frequency_sql(_FREQUENT, 20))
 def frequency_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frequency.frequency_table(deaths(spark, sf_dir, *_FREQUENT), _FREQUENT)
+    return frequency.frequency_table(deaths(spark, sf_dir, *_FREQUENT), _FREQUENT, top=20)
 
 
 @query(

@@ -10,8 +10,8 @@ from vitalframe.operators import charts, clustering, frequency, profile, samplin
 def test_frequency_adds_up(spark):
     values = ["a"] * 5 + ["b"] * 3 + ["c"] * 2 + [None]
     df = spark.createDataFrame([(v, str(i)) for i, v in enumerate(values)], "x string, id string")
-    got = frequency.frequency_table(df, ["x", "id"], max_categories=10).orderBy("position").collect()
-    assert [(r["value"], r["n"], r["pct"], r["cum_pct"]) for r in got] == [
+    got = frequency.frequency_table(df, ["x", "id"]).orderBy("position").collect()
+    assert [(r["value"], r["n"], r["pct"], r["cum_pct"]) for r in got if r["column"] == "x"] == [
         ("a", 5, 50.0, 50.0), ("b", 3, 30.0, 80.0), ("c", 2, 20.0, 100.0),
     ]
 
@@ -23,6 +23,14 @@ def test_frequency_top_and_others(spark):
     assert {(r["n_categories"], r["others"]) for r in got} == {(7, 4)}
 
 
+def test_frequency_is_complete(spark):
+    rows = [(f"v{i:02}",) for i in range(60) for _ in range(1 + i % 3)]
+    got = frequency.frequency_table(spark.createDataFrame(rows, "x string").repartition(5), ["x"]).orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(1, 61))
+    assert [r["value"] for r in got] == sorted({v for v, in rows}, key=lambda v: (-(1 + int(v[1:]) % 3), v))
+    assert got[-1]["cum_pct"] == 100.0 and {(r["n_categories"], r["others"]) for r in got} == {(60, 0)}
+
+
 def test_histogram_closes_the_last_bin(spark):
     df = spark.createDataFrame([(float(x),) for x in range(31)], "x double")
     got = charts.histogram(df, "x", 30).orderBy("bin").collect()

@@ -73,9 +73,9 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
 
 
 def slice_count(spark: SparkSession) -> int:
-    """Slices per group: the session's shuffle width as a power of two within 32..1024."""
+    """Slices per group: the session's shuffle width as a power of two, 32 at least."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(1024, max(32, 1 << (width - 1).bit_length()))
+    return max(32, 1 << (width - 1).bit_length())
 
 
 def slice_of(cuts: Column, value: Column, slices: int) -> Column:

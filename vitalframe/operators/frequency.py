@@ -9,34 +9,52 @@ from pyspark.sql import functions as F
 
 from vitalframe.functions.numbers import round_half_even
 from vitalframe.operators.counts import count_by, melt
+from vitalframe.sources.scratch import materialise
 
-MAX_CATEGORIES = 50
 
+def _placed(counts: DataFrame) -> DataFrame:
+    """Add ``position`` and ``_cum``, the running total, per column by falling count.
 
-def frequency_table(
-    df: DataFrame, cols: Sequence[str], top: int | None = 20, max_categories: int = MAX_CATEGORIES
-) -> DataFrame:
+    The counts are range-sorted and written once; positions within each range get the sizes of the ranges
+    before. A column with any number of values is never in one task.
+    """
+    ranged = counts.repartitionByRange("column", F.desc("n"), "value").withColumn("_range", F.spark_partition_id())
+    ranged = materialise(ranged, "frequencies")
+    within = Window.partitionBy("column", "_range").orderBy(F.desc("n"), "value")
+    before = Window.partitionBy("column").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("column", "_range").agg(F.count("*").alias("_values"), F.sum("n").alias("_rows"))
+    offsets = sizes.select(
+        "column", "_range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("_values", "_rows")]
+    )
+    running = F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0))
+    placed = ranged.withColumns({"position": F.row_number().over(within), "_cum": running})
+    placed = placed.join(offsets, ["column", "_range"])
+    return placed.withColumns(
+        {"position": (F.col("position") + F.col("_values")).cast("int"), "_cum": F.col("_cum") + F.col("_rows")}
+    )
+
+
+def frequency_table(df: DataFrame, cols: Sequence[str], top: int | None = None) -> DataFrame:
     """``(column, position, value, n, pct, cum_pct, n_categories, others)`` per column.
 
-    Columns with more than ``max_categories`` values are left out, which also bounds the rows
-    behind each running total. Counts come first, so the windows see categories, not rows.
+    Complete for any number of values; ``top`` asks for the largest ones only. Counts come first, so
+    what follows sees categories, not rows.
     """
     counts = melt(df, cols, kind="string").dropna(subset=["value"])
     counts = counts.groupBy("column", "value").agg(F.count("*").alias("n"))
     totals = counts.groupBy("column").agg(
         F.sum("n").alias("_total"), F.count("*").alias("n_categories")
     )
-    by_size = Window.partitionBy("column").orderBy(F.desc("n"), "value")
-    limit = max_categories if top is None else min(top, max_categories)
-    # The rank filter is applied inside the map tasks too, so a column with many values is cut
-    # down before it reaches one task.
-    ranked = counts.withColumn("position", F.row_number().over(by_size))
-    ranked = ranked.where(F.col("position") <= limit)
-    cumulative = F.sum("n").over(by_size.rowsBetween(Window.unboundedPreceding, 0))
-    joined = ranked.withColumn("_cum", cumulative).join(
-        totals.where(F.col("n_categories") <= max_categories), "column"
-    )
-    return joined.select(
+    if top is None:
+        ranked = _placed(counts)
+    else:
+        # The rank filter is applied inside the map tasks too, so a column with many values is cut
+        # down before it reaches one task.
+        by_size = Window.partitionBy("column").orderBy(F.desc("n"), "value")
+        ranked = counts.withColumn("position", F.row_number().over(by_size)).where(F.col("position") <= top)
+        ranked = ranked.withColumn("_cum", F.sum("n").over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
+    others = F.lit(0).cast("long") if top is None else F.greatest(F.col("n_categories") - top, F.lit(0))
+    return ranked.join(totals, "column").select(
         "column",
         "position",
         "value",
@@ -44,7 +62,7 @@ def frequency_table(
         round_half_even(F.col("n") / F.col("_total") * 100, 2).alias("pct"),
         round_half_even(F.col("_cum") / F.col("_total") * 100, 2).alias("cum_pct"),
         "n_categories",
-        F.greatest(F.col("n_categories") - limit, F.lit(0)).alias("others"),
+        others.alias("others"),
     )
 
 

@@ -20,7 +20,9 @@ def analysis_columns(df: DataFrame) -> list[str]:
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    return [c for c, t in df.dtypes if t in NUMERIC_TYPES and not c.startswith("_")]
+    return [
+        c for c, t in df.dtypes if (t in NUMERIC_TYPES or t.startswith("decimal")) and not c.startswith("_")
+    ]
 
 
 def categorical_columns(df: DataFrame) -> list[str]:
