@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-SLAB_BYTES = 1 << 20
+SLAB_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 #: Bytes that belong to words `[^\x20\x09-\x0D]+`.
@@ -44,7 +44,6 @@ def _table(lower: bool) -> np.ndarray:
 _TABLES = {low: _table(low) for low in (False, True)}
 
 
-@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     def of(base: int) -> np.ndarray:
         p = np.full(n, base, np.uint64)
@@ -54,9 +53,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return of(_BASE), of(pow(_BASE, -1, 1 << 64))
 
 
+_kept_powers = lru_cache(maxsize=1)(_powers)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse modulo 2**64, at least n of each."""
-    return _powers(1 << max(21, (n + 1).bit_length()))
+    """Powers of the hash base and of its inverse modulo 2**64, at least n of each.
+
+    Those that a slab needs are kept; those of a longer text are let go, so a worker doesn't hold them on.
+    """
+    return _kept_powers(SLAB_BYTES + 1) if n <= SLAB_BYTES + 1 else _powers(n)
 
 
 class Slab:

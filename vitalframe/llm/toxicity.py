@@ -18,13 +18,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitalframe.llm.spread import batches
 from vitalframe.llm.text import ALNUM, slabs
 
 #: Labelled documents per class that the models are fitted to, the first by a digest of their ids.
 SAMPLE = 10_000
 #: Standard deviations of a word's shared count that are discounted.
 Z = 3.0
-BATCH_BYTES = 8 << 20
+#: Bytes of text that are counted at a time, and rows that a task hands on at a time.
+BATCH_BYTES = 2 << 20
+BATCH_ROWS = 50_000
 
 _PAIR = "word long, before long, toxic int, n long"
 
@@ -34,14 +37,14 @@ def _counting(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[np.ndarray] = []
     much = 0
 
-    def send() -> pa.RecordBatch:
+    def send() -> pa.Table:
         word, before, toxic = np.concatenate(held, 1)
         order = np.lexsort((toxic, before, word))
         word, before, toxic = word[order], before[order], toxic[order]
         fresh = np.append(True, (word[1:] != word[:-1]) | (before[1:] != before[:-1]) | (toxic[1:] != toxic[:-1]))
         at = np.flatnonzero(fresh)
         n = np.diff(np.append(at, len(word)))
-        return pa.RecordBatch.from_arrays(
+        return pa.Table.from_arrays(
             [pa.array(word[at].view(np.int64)), pa.array(before[at].view(np.int64)), pa.array(toxic[at].astype(np.int32)), pa.array(n)],
             ["word", "before", "toxic", "n"],
         )
@@ -58,10 +61,10 @@ def _counting(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             much += len(slab.data)
             if much >= BATCH_BYTES:
                 if any(x.size for x in held):
-                    yield send()
+                    yield from batches(send(), BATCH_ROWS)
                 held, much = [], 0
     if any(x.size for x in held):
-        yield send()
+        yield from batches(send(), BATCH_ROWS)
 
 
 class WordModels:
