@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalframe.llm.spread import components, width
+from vitalframe.llm.spread import arrow_rows, components, width
 from vitalframe.llm.text import LOWER, SPACED, mixed, slabs
 from vitalframe.sources.scratch import materialise
 
@@ -37,7 +37,9 @@ BAND = 1.25
 #: Elements that a signature of a band's smallest set should have on average.
 DENSE = 4
 #: Bytes of text whose signatures travel as one blob per bucket.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+#: Rows with texts that a Python task takes at a time.
+ARROW_ROWS = 1000
 #: Parts of the fingerprint that bounds differences, one byte each.
 CELLS = 512
 #: Members of a group that one block holds.
@@ -283,11 +285,17 @@ def near_copies(
     ignored. ``buckets`` (a power of two; by default twice the shuffle width or more) sets how many parts the
     signatures are grouped in.
     """
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):
+        return _near_copies(docs, k, percent, id_col, text_col, buckets)
+
+
+def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, buckets: int | None) -> DataFrame:
+    """All of the Python work is done, and written, when this returns."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     bits = max(1, ((buckets or 2 * width(spark)) - 1).bit_length())
 
-    profile = slim.mapInArrow(_profiling(k), "doc_id long, n_shingles long, print1 long, print2 long")
+    profile = materialise(slim.mapInArrow(_profiling(k), "doc_id long, n_shingles long, print1 long, print2 long"), "profile")
     prints = ["n_shingles", "print1", "print2"]
     classes = profile.where("n_shingles > 0").groupBy(*prints).agg(F.min("doc_id").alias("_rep"))
     known = profile.join(classes, prints, "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_rep", "doc_id")).alias("rep"))

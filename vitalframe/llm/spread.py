@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -12,6 +13,24 @@ from pyspark.sql import functions as F
 
 from vitalframe.sources.scratch import materialise
 
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Python tasks planned inside take at most ``rows`` rows at a time; a smaller setting of the session stays.
+
+    Texts may be long, so a batch is large by its bytes long before it is by its rows.
+    """
+    before = spark.conf.get(_BATCH_SETTING)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(_BATCH_SETTING, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
 def width(spark: SparkSession) -> int:
     """Shuffle width that the session is set to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
