@@ -20,6 +20,7 @@ from vitalframe.llm.ppm import score_texts
 from vitalframe.llm.rpforest import near_vectors
 from vitalframe.llm.sharding import min_cost_flow, reshard, rewrite_affected
 from vitalframe.llm.substrings import remove_repeats
+from vitalframe.llm.text import SLAB_BYTES
 from vitalframe.llm.toxicity import score_toxicity
 
 rng = random.Random(5)
@@ -107,6 +108,19 @@ def test_near_copies_hot_group(spark):
     assert got == best and len(set(best.values())) > 2
 
 
+def test_near_copies_of_texts_over_a_slab(spark):
+    """A text longer than a slab is hashed like any other, and the session's batch setting is put back."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    long = " ".join(f"word{i}" for i in range(60_000))
+    assert len(long) > SLAB_BYTES
+    frame = spark.createDataFrame([(1, "start " + long), (2, long + " end"), (3, long[: SLAB_BYTES // 2]), (4, "word1 word2 word3")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_copies(frame, 3, 90).collect()}
+    half = len(words(long[: SLAB_BYTES // 2]))
+    assert got == {1: (59_999, 1), 2: (59_999, 1), 3: (half - 2, 3), 4: (1, 4)}
+    assert spark.conf.get(setting) == before
+
+
 def test_bands_keep_linked_sizes_together():
     plan = bands(5000, 80)
     assert [b.low for b in plan][0] == 1 and all(a.high + 1 == b.low for a, b in zip(plan, plan[1:]))
