@@ -194,3 +194,16 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 def test_labels_table(spark):
     df = spark.createDataFrame([("f", "c", 1.0, "x"), ("f", "c", 2.0, "y")], "filename string, column string, code double, label string")
     assert etl.labels_from_frame(df) == {"f": {"c": {1.0: "x", 2.0: "y"}}}
+
+
+def test_not_a_number_is_missing(spark, tmp_path):
+    """NaN in a year column leaves the vintage undated at worst; NaN values load as NULL."""
+    data = [(float("nan"), 8.0, "f", "Simple", float("nan")), (7.0, 8.0, "f", "Simple", 2019.0)]
+    births = spark.createDataFrame(data, "libras double, onzas double, sexo string, tipar string, anioreg double")
+    births.where("isnan(anioreg)").coalesce(1).write.parquet(f"{tmp_path}/raw/births.parquet")
+    births.coalesce(1).write.parquet(f"{tmp_path}/raw/2019-births.parquet")
+    years = {r["filename"]: r["year"] for r in landing.scan(spark, f"{tmp_path}/raw").collect()}
+    assert years == {"births.parquet": None, "2019-births.parquet": 2019}
+    etl.run_load(spark, f"{tmp_path}/raw", f"{tmp_path}/curated", "nacimientos")
+    loaded = curated.read_curated(spark, f"{tmp_path}/curated", "nacimientos").where("_year = 2019")
+    assert sorted((r["libras"] for r in loaded.select("libras").collect()), key=str) == [7.0, None]

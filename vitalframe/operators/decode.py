@@ -167,7 +167,7 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN becomes NULL in every floating-point column."""
     return df.select(
         *[
-            F.when(~F.isnan(c), F.col(c)).alias(c) if t in ("double", "float") else F.col(c)
+            F.when(~F.isnan(f"`{c}`"), F.col(f"`{c}`")).alias(c) if t in ("double", "float") else F.col(f"`{c}`")
             for c, t in df.dtypes
         ]
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalframe.functions.text import slug
-from vitalframe.operators.decode import decode_with_ratios, label_ratio
+from vitalframe.operators.decode import decode_with_ratios, label_ratio, nan_to_null
 from vitalframe.operators.harmonize import alias_clashes, harmonize, union_vintages
 from vitalframe.sources import curated, documents, landing
 
@@ -76,7 +76,7 @@ def harmonise_landing(
 
     def read(f) -> DataFrame | str:
         try:
-            return landing.read_vintage(spark, f["filepath"])
+            return nan_to_null(landing.read_vintage(spark, f["filepath"]))
         except landing.READ_ERRORS as e:
             return landing.first_line(e)
 

@@ -6,6 +6,7 @@ is too large for one. Row counts of all vintages come from a single job.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -91,7 +92,7 @@ def year_from_data(df: DataFrame) -> int | None:
     values = probe.agg(
         *[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in named]
     ).first()
-    years = [int(v) for v in values if v is not None]
+    years = [int(v) for v in values if v is not None and math.isfinite(v)]
     return next((y for y in years if lo <= y <= hi), None)
 
 
