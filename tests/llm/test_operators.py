@@ -108,6 +108,16 @@ def test_near_copies_hot_group(spark):
     assert got == best and len(set(best.values())) > 2
 
 
+def test_near_copies_in_groups_headed_by_excerpts(spark):
+    """Two near copies whose every common group has a smallest member that fits neither of them."""
+    rng = random.Random(5)
+    common = [f"w{i}" for i in range(102)]
+    rows = [(i, " ".join(rng.sample(common, 86))) for i in range(300)]
+    rows += [(1000, " ".join([*common, "b"])), (1001, " ".join([*common, "c"]))]
+    got = {r.doc_id: r.component_id for r in near_copies(spark.createDataFrame(rows, "doc_id long, text string"), 1, 90).collect()}
+    assert (got[1000], got[1001]) == (1000, 1000)
+
+
 def test_near_copies_of_texts_over_a_slab(spark):
     """A text longer than a slab is hashed like any other, and the session's batch setting is put back."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -310,7 +310,9 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
     star = members.join(firsts, "grp").where((F.col("doc") != F.col("first")) & fits).select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct()
     star = materialise(star, "pairs")
 
-    involved = star.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    # A group of three or more can go on to the rest comparison whole, also members that don't fit its smallest.
+    onward = members.join(firsts.where("size > 2").select("grp"), "grp", "left_semi").select("doc")
+    involved = star.select(F.explode(F.array("a", "b")).alias("doc")).union(onward).distinct()
     # Texts meet pairs by shuffle at every size: how many documents have candidates isn't bounded.
     texts = materialise(slim.join(involved.hint("merge"), F.col("doc_id") == F.col("doc")).select("doc", "text"), "texts")
 
