@@ -77,24 +77,23 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inertia and exact silhouette for k = 2..8, best of three starts."""
-    return clustering.sweep_k(_vectors(spark, sf_dir), n_init=3, key=["vec_id"], parallelism=8)
+    """Inertia and squared-distance silhouette for k = 2..8 over all rows, best of ten starts."""
+    return clustering.sweep_k(_vectors(spark, sf_dir), parallelism=8)
 
 
 @query()
 def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sweep = clustering.sweep_k(
-        _vectors(spark, sf_dir), range(2, 6), n_init=2, key=["vec_id"], parallelism=8
-    )
-    return clustering.best_k(sweep)
+    """The k of 2..8 with the highest silhouette over all rows, ten starts each."""
+    return clustering.best_k(clustering.sweep_k(_vectors(spark, sf_dir), parallelism=8))
 
 
 @query()
 def kmeans_final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cluster sizes of the fit over all rows of the mixed death features."""
+    """Cluster sizes of the fit over all rows of the mixed death features, with the best k of 2..8."""
     scaled, features = _scaled(spark, sf_dir)
     vectors = clustering.to_vectors(scaled, features)
-    placed, _ = clustering.assign_clusters(vectors, 5, n_init=2)
+    k = clustering.best_k(clustering.sweep_k(vectors, parallelism=8)).first()["k"]
+    placed, _ = clustering.assign_clusters(vectors, k, parallelism=8)
     sizes = count_by(placed, "cluster")
     total = sizes.agg(F.sum("n")).scalar()
     return sizes.withColumn("pct", F.col("n") / total * 100)

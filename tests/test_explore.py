@@ -180,6 +180,44 @@ def test_segmentation_finds_blobs(blobs):
     assert len(groups) == 3 and {r["count"] for r in groups} == {100}
 
 
+@pytest.mark.parametrize("name", ["kmeans_sweep", "best_k", "kmeans_final"])
+def test_search_covers_its_range(spark, monkeypatch, name):
+    """The registered searches try k = 2..8 with ten starts over all rows; the final fit takes the chosen k."""
+    from suite import q_cluster
+
+    data = [(i, i % 7, [float(i % 7 == j) * 40 + i % 3 * 0.1 for j in range(7)]) for i in range(210)]
+    frame = spark.createDataFrame(data, "vec_id long, label int, embedding array<float>")
+    monkeypatch.setattr(q_cluster, "table", lambda *_: frame)
+    features = [f"f{i}" for i in range(7)]
+    wide = frame.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f) for i, f in enumerate(features)])
+    monkeypatch.setattr(q_cluster, "_scaled", lambda *_: (wide, features))
+    tried, fit = [], clustering.fit_kmeans
+
+    def quick(vectors, k, n_init=10, seed=42, parallelism=4):
+        tried.append((k, n_init, vectors.count()))
+        return fit(vectors, k, 3, seed, 3)
+
+    monkeypatch.setattr(clustering, "fit_kmeans", quick)
+    got = getattr(q_cluster, name)(spark, "").collect()
+    assert tried[:7] == [(k, 10, 210) for k in range(2, 9)]
+    if name == "kmeans_sweep":
+        assert [r["k"] for r in got] == list(range(2, 9))
+    if name == "best_k":
+        assert got[0]["k"] == 7
+    if name == "kmeans_final":
+        assert tried[7:] == [(7, 10, 210)] and [r["n"] for r in got] == [30] * 7
+
+
+def test_sweep_takes_all_rows_unless_asked(spark):
+    vectors = clustering.to_vectors(spark.range(60_000).selectExpr("id", "double(id % 2) AS x"), ["x"], ["id"])
+    cost = clustering.sweep_k(vectors, ks=(2,), n_init=1).first()
+    assert cost["inertia"] == pytest.approx(0, abs=1e-6)
+    one = clustering.to_vectors(spark.range(60_000).selectExpr("id", "double(id) AS x"), ["x"], ["id"])
+    whole = clustering.sweep_k(one, ks=(2,), n_init=1).first()["inertia"]
+    part = clustering.sweep_k(one, ks=(2,), n_init=1, key=["id"], sample_n=600).first()["inertia"]
+    assert whole == pytest.approx(2 * 30_000**3 / 12, rel=0.01) and part < whole / 50
+
+
 def test_projection_matches_numpy(spark):
     import numpy as np
 

@@ -15,9 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.operators.counts import mean_by, melt, mode_by
-from vitalframe.operators.sampling import first_rows, sample_rows
+from vitalframe.operators.sampling import sample_rows
 
-SEARCH_SAMPLE = 50_000
 SILHOUETTE_SAMPLE = 10_000
 PLOT_SAMPLE = 20_000
 MAX_LEVELS = 50
@@ -116,8 +115,8 @@ def to_vectors(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ())
 
 
 def spread(vectors: DataFrame) -> DataFrame:
-    """Even partitions of a useful size before many passes, and kept for those passes."""
-    return vectors.hint("rebalance").persist()
+    """Even partitions before many passes, as many as the shuffle width, and kept for those passes."""
+    return vectors.repartition(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))).persist()
 
 
 def fit_kmeans(
@@ -140,26 +139,24 @@ def sweep_k(
     seed: int = 42,
     key: Sequence[str] = (),
     parallelism: int = 4,
+    sample_n: int | None = None,
 ) -> DataFrame:
-    """``(k, inertia, silhouette)`` on a bounded sample.
+    """``(k, inertia, silhouette)`` of the best fit of each k, over all rows.
 
-    The search never sees more than 50,000 rows, and the exact silhouette at most 10,000 of them.
+    The silhouette is of squared distances, linear in the rows, and NULL when a fit leaves fewer than two
+    clusters. ``sample_n`` fits and scores a random sample of that size instead.
     """
-    sample = sample_rows(vectors, SEARCH_SAMPLE, seed, key, keep_score=True).persist()
-    scored = first_rows(sample, SILHOUETTE_SAMPLE)
-    fits = []
+    rows = vectors if sample_n is None else sample_rows(vectors, sample_n, seed, key)
+    rows = spread(rows.select("features"))
+    found = []
     for k in ks:
-        model = fit_kmeans(sample.select("features"), k, n_init, seed, parallelism)
-        fits.append((k, float(model.summary.trainingCost)))
-        model.setPredictionCol(f"_k{k}")
-        scored = model.transform(scored)
-    labels = [f"_k{k}" for k in ks]
-    silhouettes = exact_silhouette(scored, labels).collect()
-    sample.unpersist()
-    found = {r["labelling"]: r["silhouette"] for r in silhouettes}
-    rows = [(k, cost, found[f"_k{k}"]) for k, cost in fits]
+        model = fit_kmeans(rows, k, n_init, seed, parallelism)
+        several = sum(n > 0 for n in model.summary.clusterSizes) > 1
+        score = squared_silhouette(model.transform(rows)) if several else None
+        found.append((k, float(model.summary.trainingCost), score))
+    rows.unpersist()
     return vectors.sparkSession.createDataFrame(
-        rows, "k int, inertia double, silhouette double"
+        found, "k int, inertia double, silhouette double"
     )
 
 
