@@ -9,7 +9,6 @@ from suite.facts import deaths, deaths_sql, table
 from suite.registry import query, rounded
 from vitalframe.operators import clustering, profile
 from vitalframe.operators.counts import count_by
-from vitalframe.operators.sampling import sample_rows
 
 _NUMERIC, _CATEGORICAL = ("edadif", "diaocu"), ("sexo", "areag", "escodif")
 
@@ -121,12 +120,11 @@ def _silhouette_sql(distance: str) -> str:
 
 @query(_silhouette_sql("list_distance(x.e, y.e)"))
 def silhouette_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Euclidean silhouette of the given labels on at most 10,000 sampled points."""
+    """Euclidean silhouette of the given labels, every point against all."""
     embedded = table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("features"), "label"
     )
-    sample = sample_rows(embedded, clustering.SILHOUETTE_SAMPLE, key=["vec_id"])
-    scored = clustering.exact_silhouette(sample, ["label"])
+    scored = clustering.exact_silhouette(embedded, ["label"])
     return scored.select(F.round("silhouette", 6).alias("silhouette"))
 
 

@@ -136,6 +136,30 @@ def test_silhouette_golden(spark):
         clustering.exact_silhouette(df, ["label"], limit=4)
 
 
+def test_silhouette_takes_all_points(spark):
+    """More points than the former limit of 10,000, in many blocks, against sums over sorted distances."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=10_500) + np.arange(10_500) % 3
+    frame = spark.createDataFrame(
+        [([float(v), 7.0], i % 3, i % 2) for i, v in enumerate(x)], "features array<double>, a int, b int"
+    )
+    got = {r["labelling"]: r["silhouette"] for r in clustering.exact_silhouette(frame, ["a", "b"]).collect()}
+    for name, label in (("a", np.arange(len(x)) % 3), ("b", np.arange(len(x)) % 2)):
+        means = []
+        for c in np.unique(label):
+            y = np.sort(x[label == c])
+            run, at = np.append(0, np.cumsum(y)), np.searchsorted(y, x)
+            total = x * at - run[at] + (run[-1] - run[at]) - x * (len(y) - at)
+            means.append((total / (len(y) - (label == c))))
+        means = np.array(means)
+        inside = means[label, np.arange(len(x))]
+        means[label, np.arange(len(x))] = np.inf
+        nearest = means.min(0)
+        assert got[name] == pytest.approx(((nearest - inside) / np.maximum(nearest, inside)).mean(), abs=1e-7)
+
+
 def test_best_k_golden(spark):
     scores = (0.1190, 0.1332, 0.1353, 0.1499, 0.1274, 0.1037, 0.1045)
     sweep = spark.createDataFrame([(k, s) for k, s in enumerate(scores, start=2)], "k int, silhouette double")

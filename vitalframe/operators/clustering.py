@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
@@ -16,11 +16,17 @@ from pyspark.sql import functions as F
 
 from vitalframe.operators.counts import mean_by, melt, mode_by
 from vitalframe.operators.sampling import sample_rows
+from vitalframe.sources.scratch import materialise
 
-SILHOUETTE_SAMPLE = 10_000
+#: Points in one block of the exact silhouette.
+BLOCK = 1_000
 PLOT_SAMPLE = 20_000
 MAX_LEVELS = 50
 
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BLOCK_SCHEMA = "block long, n long, x binary, codes binary"
+_BLOCK_ARROW = pa.schema([("block", pa.int64()), ("n", pa.int64()), ("x", pa.binary()), ("codes", pa.binary())])
+
 # Columns that would dominate the indicators, and name fragments of such columns.
 EXCLUDED_FEATURES = ("mesreg", "mesocu", "depreg", "depocu", "dredif", "dnadif")
 EXCLUDED_FRAGMENTS = ("mun", "mup")
@@ -160,66 +166,136 @@ def sweep_k(
     )
 
 
-def _silhouette_task(sample, names):
-    def score(batches):
-        points, labels = sample.value
-        norms = (points**2).sum(axis=1)
-        groups = {}
-        for j, name in enumerate(names):
-            codes, index = np.unique(labels[:, j], return_inverse=True)
-            groups[name] = (index, np.eye(len(codes))[index])
-        for pdf in batches:
-            for start in range(0, len(pdf), 256):
-                own = pdf["row"].to_numpy()[start : start + 256]
-                x = points[own]
-                squared = norms[own][:, None] + norms[None, :] - 2 * x @ points.T
-                squared[np.arange(len(own)), own] = 0.0
-                distance = np.sqrt(np.maximum(squared, 0.0))
-                for name in names:
-                    index, member = groups[name]
-                    sums = distance @ member
-                    sizes = member.sum(axis=0)
-                    mine = index[own]
-                    here = np.arange(len(own))
-                    inside = sums[here, mine] / np.maximum(sizes[mine] - 1, 1)
-                    means = sums / sizes
-                    means[here, mine] = np.inf
-                    nearest = means.min(axis=1)
-                    s = (nearest - inside) / np.maximum(np.maximum(nearest, inside), 1e-300)
-                    s[sizes[mine] == 1] = 0.0
-                    if len(sizes) < 2:
-                        s[:] = np.nan
-                    yield pd.DataFrame({"labelling": name, "s": s})
-
-    return score
+def _blob(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values).tobytes()
+
+
+def _packing(table: pa.Table) -> pa.Table:
+    """One block as one row: its points and its label codes."""
+    points, codes = (np.array(table.column(c).to_pylist()) for c in ("x", "codes"))
+    block = {"block": table.column("block")[:1], "n": [len(points)]}
+    return pa.table(block | {"x": [_blob(points.astype("<f8"))], "codes": [_blob(codes.astype("<i4"))]}, _BLOCK_ARROW)
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    shift = x.mean(axis=0)
+    x, y = x - shift, y - shift
+    squared = (x**2).sum(axis=1)[:, None] + (y**2).sum(axis=1)[None, :] - 2 * x @ y.T
+    return np.sqrt(np.maximum(squared, 0.0))
+
+
+def _summing(levels: Sequence[int]):
+    """Pairs of blocks: for each point of both, the distances to the other block's points by cluster."""
+    starts = np.cumsum([0, *levels])
+
+    def members(codes: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(codes), starts[-1]))
+        for j, start in enumerate(starts[:-1]):
+            out[np.arange(len(codes)), start + codes[:, j]] = 1.0
+        return out
+
+    def sent(sums: dict) -> pa.RecordBatch:
+        columns = [pa.array(list(sums), pa.int64()), pa.array([_blob(v) for v in sums.values()], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["block", "sums"])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for part in parts:
+            for r in part.to_pylist():
+                x = np.frombuffer(r["x"], "<f8").reshape(r["n"], -1)
+                y = np.frombuffer(r["other_x"], "<f8").reshape(r["other_n"], -1)
+                of_x, of_y = (members(np.frombuffer(r[c], "<i4").reshape(-1, len(levels))) for c in ("codes", "other_codes"))
+                distance = _distances(x, y)
+                if r["block"] == r["other"]:
+                    np.fill_diagonal(distance, 0.0)
+                else:
+                    back = distance.T @ of_x
+                    sums[r["other"]] = sums[r["other"]] + back if r["other"] in sums else back
+                there = distance @ of_y
+                sums[r["block"]] = sums[r["block"]] + there if r["block"] in sums else there
+                if len(sums) >= 64:
+                    yield sent(sums)
+                    sums = {}
+        if sums:
+            yield sent(sums)
+
+    return run
+
+
+def _scoring(names: Sequence[str], sizes: Sequence[Sequence[int]]):
+    """One block: the silhouettes of its points, summed, from all their distance sums."""
+    starts = np.cumsum([0, *map(len, sizes)])
+
+    def run(table: pa.Table) -> pa.Table:
+        codes = np.frombuffer(table.column("codes")[0].as_py(), "<i4").reshape(-1, len(names))
+        total = np.zeros((len(codes), starts[-1]))
+        for blob in table.column("sums"):
+            total += np.frombuffer(blob.as_py()).reshape(total.shape)
+        here, out = np.arange(len(codes)), []
+        for j, size in enumerate(map(np.array, sizes)):
+            sums, mine = total[:, starts[j] : starts[j + 1]], codes[:, j]
+            inside = sums[here, mine] / np.maximum(size[mine] - 1, 1)
+            means = sums / size
+            means[here, mine] = np.inf
+            nearest = means.min(axis=1)
+            s = (nearest - inside) / np.maximum(np.maximum(nearest, inside), 1e-300)
+            s[size[mine] == 1] = 0.0
+            out.append(float(s.sum()) if len(size) > 1 else float("nan"))
+        return pa.table({"labelling": list(names), "s": out, "n": [len(codes)] * len(names)})
+
+    return run
 
 
 def exact_silhouette(
-    points: DataFrame, labels: Sequence[str], limit: int = SILHOUETTE_SAMPLE
+    points: DataFrame, labels: Sequence[str], limit: int | None = None
 ) -> DataFrame:
-    """``(labelling, silhouette)``: exact mean silhouette with Euclidean distance.
+    """``(labelling, silhouette)``: exact mean silhouette with Euclidean distance, all rows against all.
 
-    Takes a bounded set of points and refuses more than ``limit``; sample first. The checked,
-    bounded set is broadcast and each task scores its share of the points against it, summing
-    distances per cluster, for all labellings at once. Pairs of points are never rows.
+    Rows are dealt to blocks, and blocks to a square of cells, half of which hold every pair of blocks
+    once. Each task sums its distances per point and cluster, for all labellings at once; pairs of points
+    are never rows. The time grows with the square of the rows, memory does not. Labels are planned on the
+    driver, a row per cluster. With ``limit``, more points than that are refused; to score a sample, pass one.
     """
     spark = points.sparkSession
     kind = dict(points.dtypes)["features"]
-    features = vector_to_array("features") if kind == "vector" else F.col("features")
-    rows = (
-        points.select(features.alias("x"), *[F.col(c).cast("int").alias(c) for c in labels])
-        .limit(limit + 1)
-        .collect()
-    )
-    if len(rows) > limit:
+    features = vector_to_array("features") if kind == "vector" else F.col("features").cast("array<double>")
+    rows = points.select(features.alias("x"), *[F.col(c).cast("int").alias(f"_l{j}") for j, c in enumerate(labels)])
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).persist()
+    counted = melt(rows, [f"_l{j}" for j in range(len(labels))], kind="int").groupBy("column", "value").agg(F.count("*").alias("n"))
+    found: dict[str, dict[int, int]] = {}
+    for r in counted.collect():
+        found.setdefault(r["column"], {})[r["value"]] = r["n"]
+    if any(None in levels for levels in found.values()):
+        raise ValueError("labels must not be NULL")
+    n = sum(found["_l0"].values()) if found else 0
+    if limit is not None and n > limit:
         raise ValueError(f"exact silhouette takes at most {limit} points")
-    matrix = np.array([r["x"] for r in rows], dtype=float)
-    codes = np.array([[r[c] for c in labels] for r in rows], dtype=int).reshape(len(rows), -1)
-    sample = spark.sparkContext.broadcast((matrix, codes))
-    scored = spark.range(len(rows)).withColumnRenamed("id", "row").mapInPandas(
-        _silhouette_task(sample, list(labels)), "labelling string, s double"
-    )
-    return scored.groupBy("labelling").agg(F.avg("s").alias("silhouette"))
+
+    order = [sorted(found.get(f"_l{j}", {})) for j in range(len(labels))]
+    codes = [F.array_position(F.lit(levels).cast("array<int>"), F.col(f"_l{j}")).cast("int") - 1 for j, levels in enumerate(order)]
+    blocks = -(-n // BLOCK)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # So many groups of blocks that half of their square gives each task a cell, of at most 8 x 8 blocks.
+    groups = min(blocks, max(int(np.ceil(np.sqrt(2 * tasks))), -(-blocks // 8))) or 1
+
+    dealt = rows.select(F.pmod("row", F.lit(max(blocks, 1))).alias("block"), "x", F.array(*codes).alias("codes"))
+    packed = materialise(dealt.groupBy("block").applyInArrow(_packing, _BLOCK_SCHEMA), "blocks")
+    rows.unpersist()
+    group = F.pmod("block", F.lit(groups))
+    left = packed.withColumn("column", F.explode(F.sequence(group, F.lit(groups - 1).cast("long")))).withColumn("row", group)
+    right = packed.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), group))).withColumn("column", group)
+    right = right.withColumnsRenamed({"block": "other", "n": "other_n", "x": "other_x", "codes": "other_codes"})
+    pairs = left.hint("merge").join(right, ["row", "column"]).where("row < column OR block <= other")
+    batch = spark.conf.get(_BATCH_SETTING)
+    spark.conf.set(_BATCH_SETTING, "4")  # a row holds two blocks
+    try:
+        sums = materialise(pairs.mapInArrow(_summing([len(x) for x in order]), "block long, sums binary"), "sums")
+    finally:
+        spark.conf.set(_BATCH_SETTING, batch)
+    sizes = [[found[f"_l{j}"][v] for v in levels] for j, levels in enumerate(order)]
+    scored = sums.join(packed.select("block", "codes"), "block").groupBy("block")
+    scored = scored.applyInArrow(_scoring(list(labels), sizes), "labelling string, s double, n long")
+    return scored.groupBy("labelling").agg((F.sum("s") / F.sum("n")).alias("silhouette"))
 
 
 def squared_silhouette(points: DataFrame, label: str = "prediction") -> float:
