@@ -207,3 +207,34 @@ def test_not_a_number_is_missing(spark, tmp_path):
     etl.run_load(spark, f"{tmp_path}/raw", f"{tmp_path}/curated", "nacimientos")
     loaded = curated.read_curated(spark, f"{tmp_path}/curated", "nacimientos").where("_year = 2019")
     assert sorted((r["libras"] for r in loaded.select("libras").collect()), key=str) == [7.0, None]
+
+
+BIRTHS = "libras double, onzas double, sexo string, tipar string, anioreg double"
+
+
+def test_year_from_all_rows(spark, tmp_path):
+    """The year may stand behind any number of missing values; the smallest one in range counts."""
+    years = [None, float("nan"), 99.0] * 5 + [2021.0, 2020.0, float("inf")]
+    data = [(1.0, 2.0, "f", "Simple", y) for y in years]
+    frame = spark.createDataFrame(data, BIRTHS).coalesce(1)
+    assert landing.year_from_data(frame) == 2020
+    assert landing.year_from_data(frame.limit(15)) is None
+
+
+def test_undated_files_all_stay(spark, tmp_path):
+    """Undated vintages of one dataset never replace each other, in a full load or batch by batch."""
+    for i, name in enumerate("abc"):
+        data = [(float(i), 8.0, "f", "Simple", None)]
+        spark.createDataFrame(data, BIRTHS).coalesce(1).write.parquet(f"{tmp_path}/raw/{name}.parquet")
+
+    def loaded(root):
+        return rows(curated.read_curated(spark, root, "nacimientos"), "_source_file", "_year", "libras")
+
+    want = [("a.parquet", None, 0.0), ("b.parquet", None, 1.0), ("c.parquet", None, 2.0)]
+    full = f"{tmp_path}/full"
+    for _ in range(2):
+        assert etl.run_load(spark, f"{tmp_path}/raw", full).superseded == []
+        assert loaded(full) == want
+    streamed = f"{tmp_path}/streamed"
+    stream_landing(spark, f"{tmp_path}/raw", streamed, f"{tmp_path}/state", files_per_batch=1).awaitTermination()
+    assert loaded(streamed) == want

@@ -107,6 +107,15 @@ def harmonise_landing(
     return {d: union_vintages(frames) for d, frames in per_dataset.items()}
 
 
+def undated_files(files: list, dataset: str, result: LoadResult) -> list[str]:
+    """Names of a dataset's harmonised files that have no year."""
+    return [
+        f["filename"]
+        for f in files
+        if f["dataset_type"] == dataset and f["year"] is None and f["filename"] not in result.errors
+    ]
+
+
 def load_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(dataset, n_files, n_rows)`` plus a total row with a NULL dataset."""
     tagged = [
@@ -147,7 +156,7 @@ def run_load(
     result.superseded = [f["filename"] for f in everything if not f["is_latest"]]
     harmonised = harmonise_landing(spark, files, labels or {}, result)
     for name, df in harmonised.items():
-        curated.write_curated(df, curated_dir, name)
+        curated.write_curated(df, curated_dir, name, undated_files(files, name, result))
     loaded = {f["filename"] for f in files} - set(result.errors)
     tables = {
         d: curated.read_curated(spark, curated_dir, d).where(

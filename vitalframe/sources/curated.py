@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalframe import specs
 from vitalframe.sources.landing import list_files
+from vitalframe.sources.scratch import materialise
 
 COMPRESSION = "zstd"
 
 
-def write_curated(df: DataFrame, root: str, dataset: str) -> str:
+def write_curated(df: DataFrame, root: str, dataset: str, undated: Sequence[str] = ()) -> str:
     """Replace the years present in ``df`` and leave other years alone.
 
-    Each vintage has one year, so every task writes one partition and no shuffle is needed.
+    Each vintage has one year, so every task writes one partition and no shuffle is needed. ``undated``
+    names the files in ``df`` without a year: they share a partition with those stored before, which stay.
     """
     path = f"{root.rstrip('/')}/{dataset}"
+    if undated and has_data(df.sparkSession, root, dataset):
+        stored = read_curated(df.sparkSession, root, dataset).where("_year IS NULL")
+        others = stored.where(~F.col("_source_file").isin(*undated))
+        df = df.unionByName(materialise(others, "undated"))
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

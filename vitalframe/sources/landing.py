@@ -6,7 +6,6 @@ is too large for one. Row counts of all vintages come from a single job.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -83,17 +82,16 @@ def is_copy(filename: Column) -> Column:
 
 
 def year_from_data(df: DataFrame) -> int | None:
-    """Year found in the first five rows: first year-named column with a value in range."""
+    """Year found in the rows: of the first year-named column with a value in range, the smallest such value."""
     named = [c for c in df.columns if any(p in c.lower() for p in YEAR_FRAGMENTS)]
     if not named:
         return None
     lo, hi = specs.YEAR_RANGE
-    probe = df.select(*[F.col(f"`{c}`").try_cast("double").alias(c) for c in named]).limit(5)
-    values = probe.agg(
-        *[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in named]
-    ).first()
-    years = [int(v) for v in values if v is not None and math.isfinite(v)]
-    return next((y for y in years if lo <= y <= hi), None)
+    values = [F.col(f"`{c}`").try_cast("double") for c in named]
+    # NaN and fractions beyond the last year are out of range.
+    inside = [F.when((v >= lo) & (v < hi + 1), F.floor(v)) for v in values]
+    years = df.agg(*[F.min(y).alias(f"_y{i}") for i, y in enumerate(inside)]).first()
+    return next((int(y) for y in years if y is not None), None)
 
 
 def probe(spark: SparkSession, folder: str, name: str) -> tuple:
@@ -188,9 +186,13 @@ def quarantined_files(inventory: DataFrame) -> DataFrame:
 
 
 def mark_latest(files: DataFrame) -> DataFrame:
-    """Add ``is_latest``: of several files with the same type and year, the last by name."""
+    """Add ``is_latest``: of several files with the same type and year, the last by name.
+
+    Nothing says that undated files cover the same year, so all of them are latest.
+    """
     same = Window.partitionBy("dataset_type", "year").orderBy(F.desc("filename"))
-    return files.withColumn("is_latest", F.row_number().over(same) == 1)
+    latest = F.col("year").isNull() | (F.row_number().over(same) == 1)
+    return files.withColumn("is_latest", latest)
 
 
 def scan_summary(inventory: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vitalframe import specs
 from vitalframe.functions.text import year_from_name
-from vitalframe.plans.etl import FileLabels, LoadResult, harmonise_landing
+from vitalframe.plans.etl import FileLabels, LoadResult, harmonise_landing, undated_files
 from vitalframe.sources import curated, landing
 from vitalframe.sources.landing import vintage_name
 
@@ -41,11 +41,13 @@ def load_vintages(
     for f in files:
         if f["year"] is None:
             f["year"] = landing.year_from_data(landing.read_vintage(spark, f["filepath"]))
-    # The last file by name wins when two cover the same dataset and year.
-    latest = list({(f["dataset_type"], f["year"]): f for f in files}.values())
+    # The last file by name wins when two cover the same dataset and year; undated ones all stay.
+    latest = list(
+        {(f["dataset_type"], f["year"] or f["filename"]): f for f in files}.values()
+    )
     harmonised = harmonise_landing(spark, latest, labels or {}, result)
     for dataset, df in harmonised.items():
-        curated.write_curated(df, curated_dir, dataset)
+        curated.write_curated(df, curated_dir, dataset, undated_files(latest, dataset, result))
     result.datasets = sorted(harmonised)
     return result
 
