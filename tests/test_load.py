@@ -6,7 +6,7 @@ from vitalframe.operators.counts import count_by
 from vitalframe.plans import etl
 from vitalframe.plans.api import Registry
 from vitalframe.sources import curated, documents, landing
-from vitalframe.streaming.landing_stream import stream_landing
+from vitalframe.streaming.landing_stream import load_vintages, stream_landing
 
 
 @pytest.fixture(scope="module")
@@ -238,3 +238,19 @@ def test_undated_files_all_stay(spark, tmp_path):
     streamed = f"{tmp_path}/streamed"
     stream_landing(spark, f"{tmp_path}/raw", streamed, f"{tmp_path}/state", files_per_batch=1).awaitTermination()
     assert loaded(streamed) == want
+
+
+@pytest.mark.parametrize("order", ["ab", "ba"])
+def test_batches_do_not_decide_the_year(spark, folder, tmp_path, order):
+    """The last file by name keeps the year, also when the other one comes in a later batch."""
+    for letter in order:
+        load_vintages(spark, folder, [f"2013-{letter}-deaths.parquet"], str(tmp_path))
+    deaths = curated.read_curated(spark, str(tmp_path), "defunciones")
+    assert rows(deaths, "_source_file", "caudef") == [("2013-b-deaths.parquet", "B"), ("2013-b-deaths.parquet", "C")]
+
+
+def test_stream_of_single_files_equals_a_full_load(spark, folder, tmp_path):
+    root = str(tmp_path / "curated")
+    stream_landing(spark, folder, root, str(tmp_path / "state"), LABELS, files_per_batch=1).awaitTermination()
+    deaths = curated.read_curated(spark, root, "defunciones")
+    assert rows(count_by(deaths, "_source_file")) == [("2012-deaths.parquet", 3), ("2013-b-deaths.parquet", 2)]

@@ -42,6 +42,14 @@ def read_curated(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{dataset}").select(*schema.names)
 
 
+def newest_files(spark: SparkSession, root: str, dataset: str) -> dict[int, str]:
+    """Year -> last name of the files stored for it; a row per year reaches the driver."""
+    if not has_data(spark, root, dataset):
+        return {}
+    dated = read_curated(spark, root, dataset).where("_year IS NOT NULL")
+    return dict(dated.groupBy("_year").agg(F.max("_source_file")).collect())
+
+
 def has_data(spark: SparkSession, root: str, dataset: str) -> bool:
     """Whether the dataset's folder holds Parquet files; looks at one footer at most."""
     try:

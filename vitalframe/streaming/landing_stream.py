@@ -24,7 +24,10 @@ def load_vintages(
     curated_dir: str,
     labels: FileLabels | None = None,
 ) -> LoadResult:
-    """Classify, harmonise and write the named vintages; unknown ones and copies are skipped."""
+    """Classify, harmonise and write the named vintages; unknown ones and copies are skipped.
+
+    So is a vintage of a year that a file later by name is stored for: the batches don't decide who wins.
+    """
     result = LoadResult(report=None, datasets=[])  # type: ignore[arg-type]
     plans = [landing.probe(spark, landing_dir, name) for name in names]
     lo, hi = specs.YEAR_RANGE
@@ -45,6 +48,12 @@ def load_vintages(
     latest = list(
         {(f["dataset_type"], f["year"] or f["filename"]): f for f in files}.values()
     )
+    stored = {d: curated.newest_files(spark, curated_dir, d) for d in {f["dataset_type"] for f in latest}}
+    latest = [
+        f for f in latest if f["filename"] >= stored[f["dataset_type"]].get(f["year"], "")
+    ]
+    kept = {f["filename"] for f in latest}
+    result.superseded = [f["filename"] for f in files if f["filename"] not in kept]
     harmonised = harmonise_landing(spark, latest, labels or {}, result)
     for dataset, df in harmonised.items():
         curated.write_curated(df, curated_dir, dataset, undated_files(latest, dataset, result))
@@ -63,7 +72,7 @@ def stream_landing(
     """Start a stream that loads everything present and stops (``availableNow``).
 
     A vintage split over two batches is loaded twice; a load replaces its year, so the second one
-    leaves the same result.
+    leaves the same result. Of two vintages of a year the last by name stays, whatever batch it is in.
     """
 
     def load_batch(batch: DataFrame, _: int) -> None:
