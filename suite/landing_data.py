@@ -13,7 +13,8 @@ from suite.facts import _case, table
 from vitalframe.sources.scratch import scratch_path
 
 YEAR = "year(o_orderdate) + 17"
-FIRST, SECOND, THIRD = (2012, 2013, 2014), (2015, 2016), (2017, 2018)
+# Last years of the first two generations.
+FIRST, SECOND = 2014, 2016
 
 _SEX_OLD = {"F": " FEMENINO ", "O": "masculino", "P": "Ignorado"}
 _SEX_NEW = {"F": "Mujer", "O": "Hombre", "P": "ignorado"}
@@ -44,6 +45,21 @@ _COUNTRY = "CASE c_nationkey WHEN 0 THEN 320 WHEN 1 THEN 840 WHEN 2 THEN 1020 EL
 _AGE = "CASE WHEN o_orderkey % 10 = 0 THEN 999.0 ELSE CAST(o_orderkey % 90 AS DOUBLE) END"
 
 
+def landed_years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """Years that orders have rows of."""
+    years = table(spark, sf_dir, "orders").where("o_orderdate IS NOT NULL").selectExpr(f"{YEAR} AS y")
+    return sorted(r["y"] for r in years.distinct().collect())
+
+
+def generations(spark: SparkSession, sf_dir: str) -> dict[int, tuple[int, ...]]:
+    """Landed years of each generation, by the generation's name."""
+    found: dict[int, tuple[int, ...]] = {}
+    for y in landed_years(spark, sf_dir):
+        name = 2012 if y <= FIRST else 2015 if y <= SECOND else 2017
+        found[name] = (*found.get(name, ()), y)
+    return found
+
+
 def _orders(spark: SparkSession, sf_dir: str, years: tuple[int, ...]) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
@@ -63,7 +79,7 @@ def _orders(spark: SparkSession, sf_dir: str, years: tuple[int, ...]) -> DataFra
 def raw_deaths(spark: SparkSession, sf_dir: str, years: tuple[int, ...], *extra: str) -> DataFrame:
     """Raw deaths of one generation, as they would land."""
     joined = _orders(spark, sf_dir, years)
-    if years[0] in FIRST:
+    if years[0] <= FIRST:
         cols = [
             f"{_case('o_orderstatus', _SEX_OLD)} AS SEXO",
             f"{_case('c_mktsegment', _PEOPLE_OLD)} AS GETDIF",
@@ -75,7 +91,7 @@ def raw_deaths(spark: SparkSession, sf_dir: str, years: tuple[int, ...], *extra:
             f"CAST({YEAR} AS DOUBLE) AS `AÑOOCU`",
             "'covid' AS `caudef.descrip`",
         ]
-    elif years[0] in SECOND:
+    elif years[0] <= SECOND:
         cols = [
             f"{_case('o_orderstatus', _SEX_NEW)} AS sexo",
             f"{_case('c_mktsegment', _PEOPLE_NEW)} AS puedif",
@@ -99,10 +115,12 @@ def raw_deaths(spark: SparkSession, sf_dir: str, years: tuple[int, ...], *extra:
 
 
 # Labels of the landed files: 999 marks an unknown age, births carry coded sex.
-FILE_LABELS = {
-    **{f"{y}-deaths.parquet": {"edadif": {999: "Ignorado"}} for y in (*FIRST, *SECOND, *THIRD)},
-    "births.parquet": {"sexo": {1: "Masculino", 2: "Femenino"}},
-}
+def file_labels(spark: SparkSession, sf_dir: str) -> dict:
+    deaths = {
+        f"{y}-deaths.parquet": {"edadif": {999: "Ignorado"}} for y in landed_years(spark, sf_dir)
+    }
+    return {**deaths, "births.parquet": {"sexo": {1: "Masculino", 2: "Femenino"}}}
+
 
 _landed: dict[tuple[str, str], str] = {}
 
@@ -113,9 +131,11 @@ def landing_folder(spark: SparkSession, sf_dir: str) -> str:
     if key in _landed:
         return _landed[key]
     folder = scratch_path(spark, "landing")
-    for y in (*FIRST, *SECOND, *THIRD):
+    years = landed_years(spark, sf_dir)
+    for y in years:
         raw_deaths(spark, sf_dir, (y,)).write.parquet(f"{folder}/{y}-deaths.parquet")
-    raw_deaths(spark, sf_dir, (2012,)).write.parquet(f"{folder}/2012-deaths (1).parquet")
+    if 2012 in years:
+        raw_deaths(spark, sf_dir, (2012,)).write.parquet(f"{folder}/2012-deaths (1).parquet")
     table(spark, sf_dir, "lineitem").selectExpr(
         "floor(l_quantity / 5) AS libras",
         "l_tax * 100 AS onzas",

@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 from suite.facts import table
 from suite.landing_data import (
     DEATHS_FILE_SQL,
-    FILE_LABELS,
-    FIRST,
-    SECOND,
-    THIRD,
+    file_labels,
+    generations,
     harmonised_sql,
     landing_folder,
     raw_deaths,
@@ -144,7 +142,7 @@ def load_once(spark: SparkSession, sf_dir: str) -> tuple[str, etl.LoadResult]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _loaded:
         root = scratch_path(spark, "curated")
-        loaded = etl.run_load(spark, landing_folder(spark, sf_dir), root, labels=FILE_LABELS)
+        loaded = etl.run_load(spark, landing_folder(spark, sf_dir), root, labels=file_labels(spark, sf_dir))
         _loaded[key] = (root, loaded)
     return _loaded[key]
 
@@ -166,7 +164,7 @@ def etl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full load of the landed files into a fresh root, and its report."""
     root = scratch_path(spark, "curated")
     folder = landing_folder(spark, sf_dir)
-    return etl.run_load(spark, folder, root, labels=FILE_LABELS).report
+    return etl.run_load(spark, folder, root, labels=file_labels(spark, sf_dir)).report
 
 
 @query(f"WITH {harmonised_sql(DEATHS_FILE_SQL, decoded=True)} SELECT * FROM harmonised")
@@ -275,7 +273,7 @@ def stream_new_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
         landing_folder(spark, sf_dir),
         root,
         scratch_path(spark, "stream-state"),
-        labels=FILE_LABELS,
+        labels=file_labels(spark, sf_dir),
     )
     stream.awaitTermination()
     tables = [
@@ -287,9 +285,9 @@ def stream_new_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _harmonised(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = []
-    for generation in (FIRST, SECOND, THIRD):
-        raw = raw_deaths(spark, sf_dir, generation, "CAST(year(o_orderdate) + 17 AS INT) AS y")
-        frames.append(harmonize(raw, "defunciones", F.col("y"), f"generation-{generation[0]}"))
+    for name, years in generations(spark, sf_dir).items():
+        raw = raw_deaths(spark, sf_dir, years, "CAST(year(o_orderdate) + 17 AS INT) AS y")
+        frames.append(harmonize(raw, "defunciones", F.col("y"), f"generation-{name}"))
     return union_vintages(frames)
 
 

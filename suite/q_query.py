@@ -329,6 +329,31 @@ def dataset_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overview.dataset_overview({d: registry.table(d) for d in ("defunciones", "matrimonios")})
 
 
+@query(
+    """SELECT 'defunciones' AS dataset, count(*) AS n_rows, 28 AS n_fields,
+      'depreg, mupreg, mesreg, anioreg, depocu, mupocu, areag, sexo, diaocu, mesocu, anioocu, edadif, perdif, puedif, ecidif' AS first_fields,
+      count(DISTINCT year(o_orderdate)) AS n_years, CAST(min(year(o_orderdate)) + 17 AS INT) AS first_year,
+      CAST(max(year(o_orderdate)) + 17 AS INT) AS last_year FROM orders
+    UNION ALL SELECT 'nacimientos', count(*), 44,
+      'depreg, mupreg, mesreg, anioreg, tipoins, depocu, mupocu, libras, onzas, diaocu, mesocu, anioocu, sexo, tipar, viapar',
+      1, 2019, 2019 FROM lineitem
+    UNION ALL SELECT 'matrimonios', count(*), 23,
+      'depreg, mupreg, mesreg, anioreg, anioocu, clauni, nunuho, nunumu, edadhom, edadmuj, puehom, puemuj, nachom, nacmuj, eschom',
+      1, 2020, 2020 FROM customer
+    UNION ALL SELECT 'divorcios', count(*), 19,
+      'depreg, mupreg, mesreg, anioreg, diaocu, mesocu, anioocu, depocu, mupocu, edadhom, edadmuj, puehom, puemuj, nachom, nacmuj',
+      1, 2021, 2021 FROM supplier
+    UNION ALL SELECT 'defunciones_fetales', count(*), 31,
+      'depreg, mupreg, mesreg, anioreg, depocu, mupocu, areag, sexo, diaocu, mesocu, anioocu, tipar, clapar, viapar, semges',
+      1, 2020, 2020 FROM part"""
+)
+def dataset_overview_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The overview of all five datasets."""
+    root, _ = load_once(spark, sf_dir)
+    registry = api.Registry(spark, root)
+    return overview.dataset_overview({d: registry.table(d) for d in specs.datasets()})
+
+
 @query(
     """SELECT count(*) FILTER (l_returnflag = 'R') AS n_loaded, count(*) AS n_stored,
       round_even((count(*) FILTER (l_returnflag = 'R') / count(*) * 100) * 10, 0) / 10 AS pct FROM lineitem"""
@@ -421,3 +446,18 @@ def title_case_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overview_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     years, _ = overview.temporal_overview(_harmonised(spark, sf_dir), "mesocu")
     return years
+
+
+@query(
+    f"""WITH {deaths_sql('_year', 'mesocu')} SELECT 'year' AS period, CAST(_year AS VARCHAR) AS value,
+      count(*) AS n FROM deaths GROUP BY ALL
+    UNION ALL SELECT 'month', mesocu, count(*) FROM deaths WHERE mesocu IS NOT NULL GROUP BY ALL"""
+)
+def overview_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both halves of the overview in time as one long table: years, then months."""
+    years, months = overview.temporal_overview(deaths(spark, sf_dir, "_year", "mesocu"), "mesocu")
+    parts = [
+        half.select(F.lit(period).alias("period"), F.col(c).cast("string").alias("value"), "n")
+        for period, half, c in (("year", years, "_year"), ("month", months, "mesocu"))
+    ]
+    return parts[0].union(parts[1])
