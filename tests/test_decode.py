@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from vitalframe.operators import decode

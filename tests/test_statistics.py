@@ -2,7 +2,7 @@ import math
 import random
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from vitalframe.operators import association, counts, crosstab, normality, outliers, profile
