@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vitalframe.llm.chat import link_calls
 from vitalframe.llm.decontaminate import find_leaks
+from vitalframe.llm.importance import resample
 from vitalframe.llm.jaccard import near_copies
 from vitalframe.llm.langid import identify, learn_filter
 from vitalframe.llm.mixing import mix
@@ -234,3 +235,42 @@ def op5_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     results = turns.where("role = 'assistant'").select(at(1).alias("call_id"), F.col("text").alias("content"))
     return link_calls(calls, results, ASK)
+
+
+RESAMPLE_SQL = r"""
+WITH RECURSIVE b8(i, k, c) AS (
+  SELECT i, 0, i::UBIGINT FROM range(256) AS r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM b8 WHERE k < 8),
+tab AS (SELECT i::UBIGINT AS i, c AS v FROM b8 WHERE k = 8),
+texts AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+w AS (
+  SELECT side, id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM texts),
+f AS MATERIALIZED (
+  SELECT side, id, array_to_string(w[i:i + n - 1], ' ') AS said, count(*) AS n
+  FROM w, (SELECT unnest([1, 2, 3]) AS n) AS s, unnest(range(1, len(w) - n + 2)) AS u(i) GROUP BY ALL),
+x AS MATERIALIZED (SELECT said, hex(encode(said)) AS h FROM (SELECT DISTINCT said FROM f)),
+step(said, h, j, c) AS (
+  SELECT said, h, 0, 4294967295::UBIGINT FROM x
+  UNION ALL SELECT said, h, j + 1, xor(c >> 8, v)
+  FROM step JOIN tab ON tab.i = xor(c & 255, ('0x' || h[2 * j + 1:2 * j + 2])::UBIGINT) WHERE 2 * j < length(h)),
+crc AS (SELECT said, (xor(c, 4294967295::UBIGINT) % 10000)::BIGINT AS bucket FROM step WHERE 2 * j = length(h)),
+k AS MATERIALIZED (SELECT side, id, bucket, sum(n)::BIGINT AS n FROM f JOIN crc USING (said) GROUP BY ALL),
+every AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::DOUBLE AS t FROM k GROUP BY 1),
+total AS (SELECT coalesce(sum(s), 0) AS ss, coalesce(sum(t), 0) AS tt FROM every),
+gain AS (SELECT bucket, floor(1000 * ln(((t + 1) * (ss + 10000)) / ((s + 1) * (tt + 10000))))::BIGINT AS gain FROM every, total),
+docs AS (SELECT id, sum(n)::BIGINT AS n, sum(n * gain)::BIGINT AS weight FROM k JOIN gain USING (bucket) WHERE side = 'd' GROUP BY 1),
+scored AS (
+  SELECT w.id AS doc_id, len(w) AS words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || w.id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN docs USING (id) WHERE side = 'd'),
+ranks AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS total FROM scored WHERE words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 5 * total // 100 THEN rank END AS rank FROM scored LEFT JOIN ranks USING (doc_id)
+"""
+
+
+@query(RESAMPLE_SQL)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")

@@ -66,6 +66,23 @@ def running(df: DataFrame, group: list[str], key: str, ties: list[str], values:
     return joined.select(*df.columns, *[(F.col(f"_in_{n}") + F.col(f"_off_{n}")).alias(n) for n in values])
 
 
+#: A key with more than one in so many of all rows is hot; there are at most as many hot keys.
+HOT_SHARE = 4096
+
+
+def join_counted(left: DataFrame, right: DataFrame, key: str, n: str) -> DataFrame:
+    """Inner join of ``left`` with ``right``, which holds every key once and in ``n`` how many rows of ``left`` have it.
+
+    Keys with more than 1 in ``HOT_SHARE`` of these rows, of which there can be no more than that, go by
+    broadcast, the others by shuffle, so no task gets a hot key's rows. Both frames are read twice.
+    """
+    least = (right.agg(F.sum(n)).first()[0] or 0) // HOT_SHARE
+    hot, cold = right.where(F.col(n) > least), right.where(F.col(n) <= least)
+    by_broadcast = left.join(F.broadcast(hot), key)
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return by_broadcast.unionByName(rest.join(cold, key))
+
+
 def dealt(bucket: np.ndarray, records: np.ndarray) -> pa.RecordBatch | None:
     """One row per bucket: the bucket and its fixed-width records, packed, in their given order."""
     if not len(bucket):
