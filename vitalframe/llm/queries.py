@@ -18,6 +18,9 @@ from vitalframe.llm.rpforest import near_vectors
 from vitalframe.llm.sharding import reshard
 from vitalframe.llm.substrings import remove_repeats
 from vitalframe.llm.toxicity import score_toxicity
+from vitalframe.llm.trie import conversation_trie
+from vitalframe.llm.warc import read_records, write_archives
+from vitalframe.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -237,11 +240,14 @@ def op5_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_calls(calls, results, ASK)
 
 
-RESAMPLE_SQL = r"""
-WITH RECURSIVE b8(i, k, c) AS (
+#: The table of CRC-32.
+CRC_SQL = """b8(i, k, c) AS (
   SELECT i, 0, i::UBIGINT FROM range(256) AS r(i)
   UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM b8 WHERE k < 8),
-tab AS (SELECT i::UBIGINT AS i, c AS v FROM b8 WHERE k = 8),
+tab AS (SELECT i::UBIGINT AS i, c AS v FROM b8 WHERE k = 8),"""
+
+RESAMPLE_SQL = r"""
+WITH RECURSIVE """ + CRC_SQL + r"""
 texts AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
 w AS (
   SELECT side, id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM texts),
@@ -274,3 +280,65 @@ SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 5 * total // 100 THE
 def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+TRIE_SQL = r"""
+WITH RECURSIVE """ + CRC_SQL + r"""
+t AS MATERIALIZED (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS pos,
+    md5(coalesce(role, '')) || md5(coalesce(text, '')) AS said, octet_length(encode(coalesce(text, ''))) AS bytes
+  FROM conversations WHERE conv_id IS NOT NULL),
+step(c, s, j, r) AS (
+  SELECT DISTINCT c, c::VARCHAR, 1, 4294967295::UBIGINT FROM t
+  UNION ALL SELECT step.c, s, j + 1, xor(r >> 8, v) FROM step JOIN tab ON tab.i = xor(r & 255, ascii(s[j])::UBIGINT) WHERE j <= length(s)),
+own AS (SELECT c, count(*) AS own FROM t GROUP BY 1),
+h AS MATERIALIZED (
+  SELECT step.c, (xor(r, 4294967295::UBIGINT) % 9)::BIGINT AS h, o.own, least((xor(r, 4294967295::UBIGINT) % 9)::BIGINT, coalesce(p.own, 0)) AS taken
+  FROM step JOIN own AS o USING (c) LEFT JOIN own AS p ON p.c = step.c - step.c % 5 WHERE j > length(s)),
+m AS (
+  SELECT h.c, pos AS depth, said, bytes FROM h JOIN t ON t.c = h.c - h.c % 5 AND pos <= h
+  UNION ALL SELECT h.c, taken + pos - h, said, bytes FROM h JOIN t ON t.c = h.c AND pos > h),
+n AS (SELECT c, taken + greatest(own - h, 0) AS size FROM h),
+p AS MATERIALIZED (
+  SELECT c, depth, bytes, string_agg(said, '' ORDER BY depth) OVER (PARTITION BY c ORDER BY depth) AS path FROM m
+  UNION ALL SELECT c, 0, 0, '' FROM h),
+k AS MATERIALIZED (SELECT path, min(c) AS conv_id, any_value(depth) AS depth, any_value(bytes) AS bytes, count(*) AS n_convs FROM p GROUP BY 1),
+ch AS (SELECT path[:-65] AS path, count(*) AS n_children FROM k WHERE depth > 0 GROUP BY 1),
+v AS MATERIALIZED (SELECT k.*, coalesce(n_children, 0) AS n_children FROM k LEFT JOIN ch USING (path)),
+a AS (
+  SELECT v.path[:64 * d] AS path, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens
+  FROM v, unnest(range(0, depth + 1)) AS u(d) GROUP BY 1),
+e AS (SELECT path, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM p JOIN n USING (c) WHERE depth = size GROUP BY 1)
+SELECT v.conv_id, v.depth, q.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM v JOIN a USING (path) LEFT JOIN e USING (path) LEFT JOIN v AS q ON v.depth > 0 AND q.path = v.path[:-65]
+"""
+
+
+@query(TRIE_SQL)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id) AS i, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN i > 1 AND payload_bytes >= 100 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN i > 1 AND payload_bytes >= 100 THEN first_id END AS refers_to
+FROM f
+"""
+
+
+@query(WARC_SQL)
+def op13_warc_index_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    index = write_archives(_table(spark, sf_dir, "pages"), folder, date="2024-01-01T00:00:00Z")
+    back = read_records(index, folder, payloads=False)
+    number = lambda c: F.expr(f"try_cast({c} AS long)")
+    return back.select(
+        number("key").alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        number("refers_to").alias("refers_to"),
+    )
