@@ -254,3 +254,114 @@ def test_stream_of_single_files_equals_a_full_load(spark, folder, tmp_path):
     stream_landing(spark, folder, root, str(tmp_path / "state"), LABELS, files_per_batch=1).awaitTermination()
     deaths = curated.read_curated(spark, root, "defunciones")
     assert rows(count_by(deaths, "_source_file")) == [("2012-deaths.parquet", 3), ("2013-b-deaths.parquet", 2)]
+
+
+DEATHS = "caudef string, edadif double, sexo double, perdif string"
+
+
+def damage_pages(folder):
+    """Overwrite every part's pages, and leave its footer whole."""
+    for part in folder.glob("part-*"):
+        data = bytearray(part.read_bytes())
+        pages = len(data) - 8 - int.from_bytes(data[-8:-4], "little")
+        data[4:pages] = b"\xff" * (pages - 4)
+        part.write_bytes(data)
+        (folder / f".{part.name}.crc").unlink()
+
+
+def test_a_damaged_page_costs_its_vintage_only(spark, tmp_path):
+    """The others are loaded, what was stored for the year stays, and the status table names the file."""
+    raw, root = tmp_path / "raw", str(tmp_path / "curated")
+    for year in (2012, 2013, 2014):
+        data = [("a", float(i), 1.0, "x") for i in range(5000)]
+        spark.createDataFrame(data, DEATHS).coalesce(1).write.parquet(f"{raw}/{year}-d.parquet")
+    spark.createDataFrame([(1.0, 8.0, "f", "Simple", None)], BIRTHS).coalesce(1).write.parquet(f"{raw}/births.parquet")
+    spark.createDataFrame([(float(i), 8.0, "f", "Simple", 2019.0) for i in range(5000)], BIRTHS).coalesce(1).write.parquet(f"{raw}/more.parquet")
+    (raw / "2015-bad.parquet").write_text("not parquet at all")
+    assert etl.run_load(spark, str(raw), root).errors == {}
+    damage_pages(raw / "2013-d.parquet")
+    damage_pages(raw / "more.parquet")
+    result = etl.run_load(spark, str(raw), root)
+    assert set(result.errors) == {"2013-d.parquet"} and result.errors["2013-d.parquet"]
+    status = {r["filename"]: (r["status"], r["nrows"]) for r in result.status.collect()}
+    assert status == {
+        "2012-d.parquet": ("loaded", 5000), "2013-d.parquet": ("failed", 0), "2014-d.parquet": ("loaded", 5000),
+        "births.parquet": ("loaded", 1), "more.parquet": ("held", 0), "2015-bad.parquet": ("held", 0),
+    }
+    assert rows(result.report) == [(None, 3, 10001), ("defunciones", 2, 10000), ("nacimientos", 1, 1)]
+    deaths = curated.read_curated(spark, root, "defunciones")
+    assert rows(count_by(deaths, "_year")) == [(2012, 5000), (2013, 5000), (2014, 5000)]
+    saved = etl.read_status(spark, root)
+    assert saved.where("status = 'failed'").count() == 1 and saved.where("status = 'held'").count() == 3
+    held = {r["filename"]: r["reason"] for r in landing.quarantined_files(landing.scan(spark, str(raw))).collect()}
+    assert set(held) == {"more.parquet", "2015-bad.parquet"} and all(held.values())
+
+
+def test_stream_keeps_the_status_of_every_file(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "curated")
+    for year in (2012, 2013):
+        spark.createDataFrame([("a", float(i), 1.0, "x") for i in range(5000)], DEATHS).coalesce(1).write.parquet(f"{raw}/{year}-d.parquet")
+    damage_pages(raw / "2013-d.parquet")
+    spark.createDataFrame([(1, 2)], "a int, b int").coalesce(1).write.parquet(f"{raw}/2016-u.parquet")
+    (raw / "2015-bad.parquet").write_text("not parquet at all")
+    stream_landing(spark, str(raw), root, str(tmp_path / "state"), files_per_batch=2).awaitTermination()
+    status = {r["filename"]: r["status"] for r in etl.read_status(spark, root).collect()}
+    assert status == {"2012-d.parquet": "loaded", "2013-d.parquet": "failed", "2016-u.parquet": "held", "2015-bad.parquet": "held"}
+
+
+def test_parts_may_differ(spark, tmp_path):
+    """A vintage has the columns of all its parts in the type that holds all, whatever their order."""
+    parts = {
+        "a": ([("x", 1, 1)], "caudef string, edadif int, sexo int"),
+        "b": ([("y", 2.5, "2", "norte")], "caudef string, edadif double, sexo string, areag string"),
+        "c": ([("z", 3, 1, "p")], "caudef string, edadif bigint, sexo int, perdif string"),
+        "d": ([("w", 4, 1, "q")], "caudef string, edadif bigint, sexo int, perdif string"),
+    }
+    for i, order in enumerate(("abcd", "dcba", "bdac")):
+        folder = tmp_path / f"201{i}-d.parquet"
+        for n, part in enumerate(order):
+            staged = tmp_path / f"{i}{part}"
+            spark.createDataFrame(*parts[part]).coalesce(1).write.parquet(str(staged))
+            folder.mkdir(exist_ok=True)
+            (folder / f"part-{n}.parquet").write_bytes(next(staged.glob("part-*.parquet")).read_bytes())
+        df = landing.read_vintage(spark, str(folder))
+        assert dict(df.dtypes) == {"caudef": "string", "edadif": "double", "sexo": "string", "areag": "string", "perdif": "string"}
+        assert rows(df, "caudef", "edadif", "sexo", "areag", "perdif") == [
+            ("w", 4.0, "1", None, "q"), ("x", 1.0, "1", None, None), ("y", 2.5, "2", "norte", None), ("z", 3.0, "1", None, "p"),
+        ]
+    raw = str(tmp_path)
+    spark.createDataFrame([("u", 1)], "caudef string, x int").coalesce(1).write.parquet(f"{raw}/none/2010-x.parquet")
+    found = {r["filename"]: (r["dataset_type"], r["nrows"]) for r in landing.scan(spark, raw).where("filename LIKE '201%d.parquet'").collect()}
+    assert found == {f"201{i}-d.parquet": ("defunciones", 4) for i in range(3)}
+    labels = {"2010-d.parquet": {"sexo": {1.0: "Masculino", 2: "Femenino"}}}
+    etl.run_load(spark, raw, f"{raw}/out", "defunciones", labels)
+    loaded = curated.read_curated(spark, f"{raw}/out", "defunciones").where("_year = 2010")
+    assert rows(loaded, "caudef", "sexo", "areag") == [("W", "Hombre", None), ("X", "Hombre", None), ("Y", "Mujer", "Norte"), ("Z", "Hombre", None)]
+
+
+def test_csv_parts_by_header(spark, tmp_path):
+    folder = tmp_path / "2020-w.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("clauni,edadhom\nx,20\n")
+    (folder / "b.csv").write_text("edadhom,edadmuj,clauni\n30,31,y\n")
+    assert rows(landing.read_vintage(spark, str(folder)), "clauni", "edadhom", "edadmuj") == [("x", "20", None), ("y", "30", "31")]
+
+
+@pytest.mark.parametrize(
+    "a, b, want",
+    [("int", "bigint", "bigint"), ("float", "int", "double"), ("decimal(9,2)", "double", "double"), ("date", "timestamp", "timestamp"),
+     ("date", "timestamp_ntz", "timestamp_ntz"), ("int", "string", "string"), ("boolean", "int", "string"), ("date", "int", "string")],
+)
+def test_type_lattice(a, b, want):
+    assert landing.wider_type(a, b) == landing.wider_type(b, a) == want
+
+
+def test_the_status_counts_what_is_lost(spark, tmp_path):
+    """Texts in numeric columns and differing former names are counted by the write itself."""
+    data = [("1", "u", 2010.0, 2010.0), ("viejo", "v", 2010.0, 2011.0), (" ", "w", None, 2012.0), (None, "x", 2010.0, None)]
+    frame = spark.createDataFrame(data, "edadif string, caudef string, anioreg double, `añoreg` double")
+    frame.withColumns({"sexo": F.lit("f"), "perdif": F.lit("p")}).coalesce(1).write.parquet(f"{tmp_path}/raw/2012-d.parquet")
+    result = etl.run_load(spark, f"{tmp_path}/raw", f"{tmp_path}/out")
+    row = result.status.first()
+    assert (row["nrows"], row["lost"], row["clashes"]) == (4, {"edadif": 1}, {"anioreg": 1})
+    assert result.clashes == {"2012-d.parquet": {"anioreg": ["anioreg", "añoreg"]}}

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.functions.text import literal_map
+from vitalframe.operators import lookup
+from vitalframe.sources.scratch import materialise
 
-# Dictionaries above this many entries are joined instead of inlined into the plan.
+# Dictionaries above this many entries are joined instead of inlined into the plan; results are the same.
 INLINE_LIMIT = 1_000
 
 Labels = Mapping[str, Mapping[object, str]]
@@ -21,40 +23,59 @@ def _labels_for(df: DataFrame, labels: Labels) -> dict[str, Mapping[object, str]
     return {c: known[c.lower()] for c in df.columns if c.lower() in known}
 
 
-def _typed_keys(pairs: Mapping[object, str], kind: str) -> dict[object, str]:
-    """Dictionary keys in the column's own type, so codes compare as numbers."""
-    if kind == "string":
-        return {str(k): str(v) for k, v in pairs.items()}
-    typed = {}
-    for k, v in pairs.items():
-        try:
-            typed[float(k)] = str(v)
-        except (TypeError, ValueError):
+def _label(col: Column, pairs: Mapping[object, str], kind: str) -> Column:
+    """A code's label, inlined; NULL without one. Numbers match as numbers in text columns too."""
+    numbers, texts = lookup.split_codes(pairs)
+    found = []
+    if numbers:
+        number = F.trim(col).try_cast("double") if kind == "string" else col.cast("double")
+        found.append(F.try_element_at(literal_map(numbers), number))
+    if texts and kind == "string":
+        found.append(F.try_element_at(literal_map(texts), col))
+    return F.coalesce(*found) if found else F.lit(None).cast("string")
+
+
+def with_labels(df: DataFrame, found: Mapping[str, Mapping[object, str]]) -> tuple[DataFrame, dict[str, Column]]:
+    """The frame, and for every labelled column the expression of its label.
+
+    Dictionaries of more than ``INLINE_LIMIT`` entries would make the plan too long, so they are joined and
+    their labels are further columns.
+    """
+    types = dict(df.dtypes)
+    labels: dict[str, Column] = {}
+    for i, (c, pairs) in enumerate(found.items()):
+        if len(pairs) <= INLINE_LIMIT:
+            labels[c] = _label(F.col(f"`{c}`"), pairs, types[c])
             continue
-    return typed
+        table = lookup.frame_of(df.sparkSession, pairs)
+        size = sum(len(str(k)) + len(str(v).encode()) + 64 for k, v in pairs.items())
+        df = lookup.join_lookup(df, lookup.code_of(F.col(f"`{c}`"), types[c]), table, f"_label_{i}", size)
+        labels[c] = F.col(f"_label_{i}")
+    return df, labels
 
 
-def _labelled(col: Column, pairs: Mapping[object, str], kind: str) -> Column:
-    typed = _typed_keys(pairs, kind)
-    probe = col if kind == "string" else col.cast("double")
-    return probe.isin(list(typed)) if typed else F.lit(False)
+def _valid(c: str, kind: str) -> Column:
+    """The value, NULL if it is missing; NaN is."""
+    col = F.col(f"`{c}`")
+    return F.when(~F.isnan(col), col) if kind in ("double", "float") else col
 
 
 def label_ratio(df: DataFrame, labels: Labels) -> DataFrame:
-    """``(column, n_valid, n_labelled, ratio)`` for all labelled columns in one pass."""
+    """``(column, n_valid, n_labelled, ratio)`` for all labelled columns in one pass; NaN is no valid value."""
     types = dict(df.dtypes)
     found = _labels_for(df, labels)
     if not found:
         schema = "column string, n_valid bigint, n_labelled bigint, ratio double"
         return df.sparkSession.createDataFrame([], schema)
-    one_pass = df.agg(
+    labelled, label = with_labels(df, found)
+    one_pass = labelled.agg(
         *[
             F.struct(
                 F.lit(c).alias("column"),
-                F.count(F.col(f"`{c}`")).alias("n_valid"),
-                F.count_if(_labelled(F.col(f"`{c}`"), pairs, types[c])).alias("n_labelled"),
+                F.count(_valid(c, types[c])).alias("n_valid"),
+                F.count(label[c]).alias("n_labelled"),
             ).alias(f"_c{i}")
-            for i, (c, pairs) in enumerate(found.items())
+            for i, c in enumerate(found)
         ]
     )
     rows = one_pass.select(F.inline(F.array(*[f"_c{i}" for i in range(len(found))])))
@@ -62,66 +83,45 @@ def label_ratio(df: DataFrame, labels: Labels) -> DataFrame:
     return rows.withColumn("ratio", ratio)
 
 
-def is_categorical(ratio: Column) -> Column:
-    """Strictly more than half of the values carry a label."""
-    return ratio > 0.5
-
-
 def decode_categorical(col: Column, pairs: Mapping[object, str], kind: str) -> Column:
     """Code to label; unlabelled values stay as text."""
-    typed = _typed_keys(pairs, kind)
-    if not typed:
-        return col.cast("string")
-    probe = col if kind == "string" else col.cast("double")
-    return F.coalesce(F.try_element_at(literal_map(typed), probe), col.cast("string"))
+    return F.coalesce(_label(col, pairs, kind), col.cast("string"))
 
 
 def null_sentinels(col: Column, pairs: Mapping[object, str], kind: str) -> Column:
     """Codes listed in the dictionary become NULL."""
-    return F.when(_labelled(col, pairs, kind), F.lit(None)).otherwise(col)
+    return F.when(_label(col, pairs, kind).isNull(), col)
 
 
 def decode_with_ratios(df: DataFrame, labels: Labels, ratios: Mapping[str, float]) -> DataFrame:
     """Apply labels given the labelled ratio of each column; one projection.
 
-    Columns absent from ``ratios`` (all NULL, or no labels) are left as they are. Dictionaries too
-    long to inline are joined.
+    Columns absent from ``ratios`` (all NULL, or no labels) are left as they are.
     """
-    types = dict(df.dtypes)
     found = {c: p for c, p in _labels_for(df, labels).items() if ratios.get(c) is not None}
-    for c, pairs in found.items():
-        if ratios[c] > 0.5 and len(pairs) > INLINE_LIMIT:
-            df = _decode_by_join(df, c, pairs, types[c])
+    labelled, label = with_labels(df, found)
 
     def project(c: str) -> Column:
         col = F.col(f"`{c}`")
-        if c not in found or (ratios[c] > 0.5 and len(found[c]) > INLINE_LIMIT):
+        if c not in found:
             return col
-        decode = decode_categorical if ratios[c] > 0.5 else null_sentinels
-        return decode(col, found[c], types[c]).alias(c)
-
-    return df.select(*[project(c) for c in df.columns])
-
+        decoded = F.coalesce(label[c], col.cast("string")) if ratios[c] > 0.5 else F.when(label[c].isNull(), col)
+        return decoded.alias(c)
 
-def _decode_by_join(df: DataFrame, c: str, pairs: Mapping, kind: str) -> DataFrame:
-    key_type = "string" if kind == "string" else "double"
-    rows = list(_typed_keys(pairs, kind).items())
-    table = df.sparkSession.createDataFrame(rows, f"key {key_type}, value string")
-    return replace_by_join(df, c, table)
+    return labelled.select(*[project(c) for c in df.columns])
 
 
-def replace_by_join(df: DataFrame, col: str, dictionary: DataFrame) -> DataFrame:
-    """Dictionary lookup as a left join on ``dictionary(key, value)``; unmatched values stay.
+def replace_by_join(df: DataFrame, col: str, dictionary: DataFrame, limit: int = lookup.BROADCAST_BYTES) -> DataFrame:
+    """Dictionary lookup as a left join on ``dictionary(key, value)``; unmatched values stay, as text.
 
-    Repeated keys are reduced to one row first so that the join never multiplies rows. The join
-    strategy is left to Spark, which broadcasts only a dictionary it knows to be small.
+    Repeated keys are reduced to one row first so that the join never multiplies rows. A dictionary of up to
+    ``limit`` bytes is broadcast, a larger one shuffled beside its hot codes.
     """
-    lookup = dictionary.groupBy(F.col("key").alias("_key")).agg(F.min("value").alias("_value"))
+    table = materialise(lookup.lookup_of(dictionary), "lookup")
     source = F.col(f"`{col}`")
-    replaced = F.coalesce(F.col("_value"), source.cast("string"))
-    joined = df.join(lookup, source == F.col("_key"), "left")
+    joined = lookup.join_lookup(df, lookup.code_of(source, dict(df.dtypes)[col]), table, "_value_of", limit=limit)
     return joined.select(
-        *[replaced.alias(c) if c == col else F.col(f"`{c}`") for c in df.columns]
+        *[F.coalesce("_value_of", source.cast("string")).alias(c) if c == col else F.col(f"`{c}`") for c in df.columns]
     )
 
 

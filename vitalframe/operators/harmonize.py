@@ -76,6 +76,29 @@ def harmonize(
     )
 
 
+def losses(df: DataFrame, dataset: str) -> dict[str, Column]:
+    """What `harmonize` will lose of a raw vintage, as aggregates by name; no job.
+
+    ``lost:<column>`` counts texts of a numeric column that are no numbers and so become NULL, ``clash:<column>`` rows in
+    which two columns feed a canonical one with different values, of which the first stays.
+    """
+    names = {c.lower(): c for c in df.columns}
+    types = {c.lower(): t for c, t in df.dtypes}
+    found = sources_of(dataset, list(names))
+    out: dict[str, Column] = {}
+    for spec in specs.columns(dataset):
+        raw = {c: F.col(f"`{names[c]}`") for c in found[spec.name]}
+        texts = [c for c in raw if types[c] == "string" and spec.type != "string"]
+        if texts:
+            bad = [F.when((F.trim(raw[c]) != "") & clean_value(raw[c], spec.name, "string", spec.type).isNull(), 1).otherwise(0) for c in texts]
+            out[f"lost:{spec.name}"] = F.coalesce(F.sum(sum(bad[1:], bad[0])), F.lit(0)).cast("long")
+        if len(raw) > 1:
+            clean = [clean_value(v, spec.name, types[c], spec.type) for c, v in raw.items()]
+            differ = [a != b for i, a in enumerate(clean) for b in clean[i + 1 :]]
+            out[f"clash:{spec.name}"] = F.count_if(F.coalesce(F.greatest(*[F.coalesce(d, F.lit(False)) for d in differ], F.lit(False)), F.lit(False)))
+    return out
+
+
 def union_vintages(frames: list[DataFrame]) -> DataFrame:
     """All vintages as one table, matched by column name, absent columns NULL."""
     union, *rest = frames

@@ -42,11 +42,11 @@ def read_curated(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{dataset}").select(*schema.names)
 
 
-def newest_files(spark: SparkSession, root: str, dataset: str) -> dict[int, str]:
-    """Year -> last name of the files stored for it; a row per year reaches the driver."""
-    if not has_data(spark, root, dataset):
+def newest_files(spark: SparkSession, root: str, dataset: str, years: Sequence[int]) -> dict[int, str]:
+    """Year -> last name of the files stored for it, of these years only; a row per year reaches the driver."""
+    if not years or not has_data(spark, root, dataset):
         return {}
-    dated = read_curated(spark, root, dataset).where("_year IS NOT NULL")
+    dated = read_curated(spark, root, dataset).where(F.col("_year").isin(*years))
     return dict(dated.groupBy("_year").agg(F.max("_source_file")).collect())
 
 
@@ -69,7 +69,7 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
 
 def storage_inventory(spark: SparkSession, root: str) -> DataFrame:
     """``(dataset, n_files, mb)`` of the curated Parquet files."""
-    files = list_files(spark, root).where(F.col("path").endswith(".parquet"))
+    files = list_files(spark, root).where(F.col("path").endswith(".parquet") & F.col("path").contains("/_year="))
     dataset = F.regexp_extract("path", r"/([^/]+)/_year=[^/]*/[^/]+$", 1)
     return files.groupBy(dataset.alias("dataset")).agg(
         F.count("*").alias("n_files"), (F.sum("length") / (1024 * 1024)).alias("mb")

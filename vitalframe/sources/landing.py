@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -23,6 +24,8 @@ YEAR_FRAGMENTS = ("anio", "año")
 # What opening or planning one broken file can raise.
 READ_ERRORS = (PySparkException, Py4JJavaError, ValueError)
 
+T = TypeVar("T")
+
 PLAN_SCHEMA = """
     filename string, filepath string, ncols int, columns array<string>,
     column_labels map<string,string>, error string
@@ -38,13 +41,118 @@ def format_of(filename: str) -> str | None:
     return next((f for ext, f in FORMATS.items() if filename.lower().endswith(ext)), None)
 
 
+def read_parts(spark: SparkSession, kind: str, paths: Sequence[str]) -> DataFrame:
+    """Part files whose columns have one type each, by column name; absent columns are NULL.
+
+    Spark merges the schemas of Parquet and ORC footers in one distributed job, and infers that of JSON from all parts.
+    """
+    if kind == "csv":
+        return spark.read.option("header", True).csv(list(paths))
+    return spark.read.option("mergeSchema", True).format(kind).load(list(paths))
+
+
+def alike_parts(spark: SparkSession, kind: str, paths: Sequence[str]) -> list[DataFrame]:
+    """Reads of part files that together hold all of them, each of parts whose schemas go together.
+
+    Parts whose schemas Spark can't merge are halved until they merge, so a vintage with few deviating parts takes
+    few reads of footers; neighbouring halves are merged again where they can be. CSV parts go by header line.
+    """
+    if kind == "csv":
+        headers = in_parallel(lambda p: tuple(read_parts(spark, kind, [p]).columns), paths)
+        alike: dict[tuple, list[str]] = {}
+        for header, path in zip(headers, paths):
+            alike.setdefault(header, []).append(path)
+        return [read_parts(spark, kind, found) for found in alike.values()]
+    groups: list[tuple[dict, list[str]]] = []
+
+    def gather(part: Sequence[str]) -> None:
+        try:
+            schema = read_parts(spark, kind, part).schema
+        except READ_ERRORS:
+            if len(part) == 1:
+                raise
+            gather(part[: len(part) // 2])
+            gather(part[len(part) // 2 :])
+            return
+        types = {f.name: f.dataType for f in schema}
+        for known, members in groups:
+            if all(known.get(n, t) == t for n, t in types.items()):
+                known.update(types)
+                members.extend(part)
+                return
+        groups.append((types, list(part)))
+
+    gather(paths)
+    return [read_parts(spark, kind, members) for _, members in groups]
+
+
+_WHOLE = {"tinyint": 1, "smallint": 2, "int": 3, "bigint": 4}
+
+
+def wider_type(a: str, b: str) -> str:
+    """The narrowest type that holds the values of both; text where numbers, dates and the like meet."""
+    if a == b:
+        return a
+    if a in _WHOLE and b in _WHOLE:
+        return max(a, b, key=_WHOLE.__getitem__)
+    numbers = {*_WHOLE, "float", "double"}
+    if (a in numbers or a.startswith("decimal")) and (b in numbers or b.startswith("decimal")):
+        return "double"
+    if {a, b} <= {"date", "timestamp", "timestamp_ntz"}:
+        return "timestamp" if "timestamp" in (a, b) else "timestamp_ntz"
+    return "string"
+
+
+def union_parts(frames: Sequence[DataFrame]) -> DataFrame:
+    """Reads of one vintage as one frame: every column of any of them, in the type that holds all."""
+    types: dict[str, str] = {}
+    for df in frames:
+        for name, kind in df.dtypes:
+            types[name] = wider_type(types.get(name, kind), kind)
+
+    def typed(df: DataFrame) -> DataFrame:
+        held = set(df.columns)
+        return df.select(
+            *[(F.col(f"`{n}`") if n in held else F.lit(None)).cast(t).alias(n, metadata=_metadata(frames, n)) for n, t in types.items()]
+        )
+
+    union, *rest = [typed(df) for df in frames]
+    for df in rest:
+        union = union.unionByName(df)
+    return union
+
+
+def _metadata(frames: Sequence[DataFrame], name: str) -> dict:
+    """Metadata of a column, where its label is, from the first frame that has any."""
+    found = (df.schema[name].metadata for df in frames if name in df.columns)
+    return next((m for m in found if m), {})
+
+
 def read_vintage(spark: SparkSession, filepath: str) -> DataFrame:
-    """Raw vintage in whatever landed format, by extension."""
+    """Raw vintage in whatever landed format, by extension, with the columns of all its part files.
+
+    Types that differ between parts become the narrowest that holds all, text at worst.
+    """
     kind = format_of(filepath)
     if kind is None:
         raise ValueError(f"unsupported format: {filepath}")
-    reader = spark.read.option("header", True) if kind == "csv" else spark.read
-    return reader.format(kind).load(filepath)
+    if kind != "csv":
+        try:
+            return read_parts(spark, kind, [filepath])
+        except READ_ERRORS as e:
+            parts = part_files(spark, filepath)
+            if len(parts) < 2:
+                raise e
+    else:
+        parts = part_files(spark, filepath)
+        if len(parts) < 2:
+            return read_parts(spark, kind, [filepath])
+    return union_parts(alike_parts(spark, kind, parts))
+
+
+def part_files(spark: SparkSession, filepath: str) -> list[str]:
+    """Paths of a vintage's part files, sorted; their number doesn't grow with the rows of a part."""
+    return sorted(r["path"] for r in list_files(spark, filepath).select("path").collect())
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,7 +180,7 @@ def classify(columns: Column) -> Column:
     names = F.transform(columns, F.lower)
     verdict = F.lit(specs.UNKNOWN_DATASET)
     for dataset, signature in reversed(specs.SIGNATURES):
-        wanted = F.array(*[F.lit(c) for c in signature.split()])
+        wanted = F.array(*[F.lit(c) for c in signature])
         verdict = F.when(F.size(F.array_except(wanted, names)) == 0, dataset).otherwise(verdict)
     return verdict
 
@@ -128,21 +236,22 @@ def scan(spark: SparkSession, folder: str) -> DataFrame:
     named = year_from_name(F.col("filename"), lo, hi)
     undated = {r["filename"] for r in found.where(named.isNull()).select("filename").collect()}
     probes = [(n, p) for n, p in readable if n in undated]
-    years = in_parallel(lambda f: year_from_data(read_vintage(spark, f[1])), probes)
-    from_data = [(n, y) for (n, _), y in zip(probes, years) if y is not None]
-    probed = spark.createDataFrame(from_data, "filename string, _data_year int")
+    years = in_parallel(lambda f: attempt(lambda: year_from_data(read_vintage(spark, f[1]))), probes)
+    from_data = [(n, *y) for (n, _), y in zip(probes, years)]
+    probed = spark.createDataFrame(from_data, "filename string, _data_year int, _year_error string")
 
     counts = row_counts(spark, readable)
+    found = found.join(counts, "filename", "left").join(probed, "filename", "left")
+    found = found.withColumn("error", F.coalesce("error", "_count_error", "_year_error"))
     failed = F.col("error").isNotNull()
     kind = F.when(failed, specs.ERROR_DATASET).otherwise(classify(F.col("columns")))
     year = F.when(~failed, F.coalesce(named, F.col("_data_year")))
-    joined = found.join(counts, "filename", "left").join(probed, "filename", "left")
-    return joined.select(
+    return found.select(
         "filename",
         "filepath",
         kind.alias("dataset_type"),
         year.alias("year"),
-        F.coalesce("nrows", F.lit(0)).alias("nrows"),
+        F.when(failed, F.lit(0)).otherwise(F.coalesce("nrows", F.lit(0))).cast("bigint").alias("nrows"),
         "ncols",
         "columns",
         "column_labels",
@@ -151,15 +260,35 @@ def scan(spark: SparkSession, folder: str) -> DataFrame:
     ).orderBy("filename")
 
 
+def attempt(step: Callable[[], T]) -> tuple[T | None, str | None]:
+    """The step's result and None, or None and the first line of its reading error."""
+    try:
+        return step(), None
+    except READ_ERRORS as e:
+        return None, first_line(e)
+
+
 def row_counts(spark: SparkSession, files: Sequence[tuple[str, str]]) -> DataFrame:
-    """``(filename, nrows)`` of all vintages in one job that reads no columns."""
-    if not files:
-        return spark.createDataFrame([], "filename string, nrows bigint")
-    tagged = [read_vintage(spark, p).select(F.lit(n).alias("filename")) for n, p in files]
-    union, *rest = tagged
-    for frame in rest:
-        union = union.union(frame)
-    return union.groupBy("filename").agg(F.count("*").alias("nrows"))
+    """``(filename, nrows, _count_error)`` of all vintages in one job that reads no columns.
+
+    If that job meets a damaged file, each vintage is counted by itself, so only those that fail have no count.
+    """
+
+    def counted(some: Sequence[tuple[str, str]]) -> list[tuple]:
+        tagged = [read_vintage(spark, p).select(F.lit(n).alias("filename")) for n, p in some]
+        union, *rest = tagged
+        for frame in rest:
+            union = union.union(frame)
+        # a row per vintage
+        return [tuple(r) for r in union.groupBy("filename").agg(F.count("*").alias("nrows")).collect()]
+
+    rows, error = attempt(lambda: counted(files)) if files else ([], None)
+    if error is None:
+        found = [(n, c, None) for n, c in rows]
+    else:
+        singles = in_parallel(lambda f: attempt(lambda: counted([f])), files)
+        found = [(name, rows[0][1] if rows else 0, e) for (name, _), (rows, e) in zip(files, singles)]
+    return spark.createDataFrame(found, "filename string, nrows bigint, _count_error string")
 
 
 def unique_files(inventory: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vitalframe import specs
 from vitalframe.functions.text import year_from_name
-from vitalframe.plans.etl import FileLabels, LoadResult, harmonise_landing, undated_files
+from vitalframe.plans.etl import SUPERSEDED, FileLabels, LoadResult, Vintage, finish, load_side_by_side, quarantine_status
 from vitalframe.sources import curated, landing
 from vitalframe.sources.landing import vintage_name
 
@@ -24,41 +24,42 @@ def load_vintages(
     curated_dir: str,
     labels: FileLabels | None = None,
 ) -> LoadResult:
-    """Classify, harmonise and write the named vintages; unknown ones and copies are skipped.
+    """Classify, harmonise and write the named vintages; every one leaves a row in the status table.
 
-    So is a vintage of a year that a file later by name is stored for: the batches don't decide who wins.
+    Unreadable files, unknown ones and copies are held. So is a vintage of a year that a file later by name is
+    stored for (superseded): the batches don't decide who wins.
     """
-    result = LoadResult(report=None, datasets=[])  # type: ignore[arg-type]
-    plans = [landing.probe(spark, landing_dir, name) for name in names]
+    plans = landing.in_parallel(lambda name: landing.probe(spark, landing_dir, name), names)
     lo, hi = specs.YEAR_RANGE
-    rows = (
+    failed = F.col("error").isNotNull()
+    inventory = (
         spark.createDataFrame(plans, landing.PLAN_SCHEMA)
-        .where(F.col("error").isNull() & ~landing.is_copy(F.col("filename")))
-        .withColumn("dataset_type", landing.classify(F.col("columns")))
-        .where(F.col("dataset_type") != specs.UNKNOWN_DATASET)
+        .withColumn("is_duplicate", landing.is_copy(F.col("filename")))
+        .withColumn("dataset_type", F.when(failed, specs.ERROR_DATASET).otherwise(landing.classify(F.col("columns"))))
         .withColumn("year", year_from_name(F.col("filename"), lo, hi))
-        .orderBy("filename")
-        .collect()
     )
-    files = [r.asDict() for r in rows]
-    for f in files:
-        if f["year"] is None:
-            f["year"] = landing.year_from_data(landing.read_vintage(spark, f["filepath"]))
-    # The last file by name wins when two cover the same dataset and year; undated ones all stay.
-    latest = list(
-        {(f["dataset_type"], f["year"] or f["filename"]): f for f in files}.values()
-    )
-    stored = {d: curated.newest_files(spark, curated_dir, d) for d in {f["dataset_type"] for f in latest}}
-    latest = [
-        f for f in latest if f["filename"] >= stored[f["dataset_type"]].get(f["year"], "")
+    vintages = [
+        Vintage(r["filename"], r["filepath"], r["dataset_type"], r["year"], r["column_labels"])
+        for r in landing.loadable_files(inventory).orderBy("filename").collect()
     ]
-    kept = {f["filename"] for f in latest}
-    result.superseded = [f["filename"] for f in files if f["filename"] not in kept]
-    harmonised = harmonise_landing(spark, latest, labels or {}, result)
-    for dataset, df in harmonised.items():
-        curated.write_curated(df, curated_dir, dataset, undated_files(latest, dataset, result))
-    result.datasets = sorted(harmonised)
-    return result
+
+    def dated(v: Vintage) -> None:
+        if v.year is None:
+            v.year, v.reason = landing.attempt(lambda: landing.year_from_data(landing.read_vintage(spark, v.filepath)))
+
+    landing.in_parallel(dated, vintages)
+    readable = [v for v in vintages if v.reason is None]
+    # The last file by name wins when two cover the same dataset and year; undated ones all stay.
+    latest = {(v.dataset, v.year or v.filename): v for v in readable}
+    stored = {
+        d: curated.newest_files(spark, curated_dir, d, sorted({v.year for v in readable if v.dataset == d and v.year}))
+        for d in {v.dataset for v in readable}
+    }
+    for v in readable:
+        if latest[(v.dataset, v.year or v.filename)] is not v or v.filename < stored[v.dataset].get(v.year, ""):
+            v.status = SUPERSEDED
+    load_side_by_side(spark, [v for v in readable if v.status != SUPERSEDED], labels or {}, curated_dir)
+    return finish(spark, curated_dir, vintages, quarantine_status(inventory))
 
 
 def stream_landing(
