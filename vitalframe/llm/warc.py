@@ -18,7 +18,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalframe.llm.spread import join_counted
+from vitalframe.llm.spread import join_counted, width
 from vitalframe.sources.scratch import materialise
 
 #: A payload of fewer bytes is always written out.
@@ -27,6 +27,8 @@ LEAST_BYTES = 100
 ARCHIVE_BYTES = 256 << 20
 #: Ranges are read at once if no more than GAP bytes lie between them, up to BLOCK bytes.
 GAP, BLOCK = 64 << 10, 4 << 20
+#: A reading task gets no more archive bytes than MOST_BYTES, and no fewer than LEAST_TASK_BYTES if there are enough.
+MOST_BYTES, LEAST_TASK_BYTES = 64 << 20, 4 << 20
 #: Rows that a writer turns into Python objects at a time.
 _ROWS = 256
 
@@ -197,5 +199,8 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
                 held.close()
 
     columns = [c.split()[0] for c in _RECORD.split(", ")]
-    ordered = index.select("archive", "offset", "length").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    # The rows are small, what they stand for isn't: tasks are counted by archive bytes.
+    much = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(1, min(max(width(index.sparkSession), much // MOST_BYTES), much // LEAST_TASK_BYTES))
+    ordered = index.select("archive", "offset", "length").repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     return ordered.mapInArrow(read, _RECORD)
