@@ -98,11 +98,12 @@ def decided(pages: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("key").isNotNull().alias("named"), "key")).alias("first")
     shared = slim.groupBy("digest").agg(first, F.count("*").alias("keys"), F.sum("rows").alias("n")).where("n > 1")
     copies = join_counted(slim, shared.select("digest", "first", "keys"), "digest", "keys")
-    copies = copies.select("digest", "key", F.col("first.key").alias("first_key"), F.lit(True).alias("copied"))
-    met = digested.alias("p").join(copies.alias("c"), (F.col("p.key").eqNullSafe(F.col("c.key"))) & (F.col("p.digest") == F.col("c.digest")), "left")
-    met = met.select("p.*", "c.first_key", F.coalesce("c.copied", F.lit(False)).alias("copied"))
+    # One text for digest and key, without the key if it is null, so that join and window share one shuffle of the payloads.
+    spot = F.concat_ws(":", "digest", F.col("key").cast("string"))
+    copies = copies.select(spot.alias("spot"), F.col("first.key").alias("first_key"), F.lit(True).alias("copied"))
+    met = digested.withColumn("spot", spot).join(copies, "spot", "left").withColumn("copied", F.coalesce("copied", F.lit(False)))
     # rows of one key and payload are told apart by their place among themselves
-    place = F.row_number().over(Window.partitionBy("key", "digest").orderBy("url"))
+    place = F.row_number().over(Window.partitionBy("spot").orderBy("url"))
     again = F.col("copied") & (~F.col("key").eqNullSafe(F.col("first_key")) | (F.col("place") > 1))
     return met.withColumn("place", place).select(
         "key", "url", "payload", "digest", "size", again.alias("revisit"), F.when(again, F.coalesce(F.col("first_key").cast("string"), F.lit(""))).alias("refers_to")
