@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.llm.spread import arrow_rows, components, width
-from vitalframe.llm.text import LOWER, SPACED, mixed, slabs
+from vitalframe.llm.text import LOWER, SPACED, mixed, released, slabs
 from vitalframe.sources.scratch import materialise
 
 #: Size of a band's largest set over its smallest.
@@ -38,6 +38,8 @@ BAND = 1.25
 DENSE = 4
 #: Bytes of text whose signatures travel as one blob per bucket.
 BATCH_BYTES = 4 << 20
+#: Bytes that the cells and the signatures of the texts signed at a time may take, and records sent on at a time.
+SLICE_BYTES, SEND_RECORDS = 8 << 20, 1 << 19
 #: Rows with texts that a Python task takes at a time.
 ARROW_ROWS = 1000
 #: Parts of the fingerprint that bounds differences, one byte each.
@@ -149,27 +151,38 @@ def _signing(k: int, percent: int, bits: int):
         lows = np.array([b.low for b in plan])
         own = np.searchsorted(lows, size, "right") - 1
         reach = np.searchsorted(lows, size * 100 // percent, "right") - 1
-        records = []
+        records, many = [], 0
         for band in plan:
             if band.high * (100 - percent) * 2 < 100 + percent:
                 continue  # here linked sets are equal
-            mine = signs & (own <= band.index) & (reach >= band.index)
-            if mine.any():
-                index = np.cumsum(mine) - 1
-                picked = mine[row]
-                rows, sigs = _signatures(band, index[row[picked]], h[picked], int(mine.sum()))
+            mine = np.flatnonzero(signs & (own <= band.index) & (reach >= band.index))
+            step = max(1, SLICE_BYTES // (8 * band.n1 * (band.n2 + len(band.subsets))))
+            for some in (mine[lo : lo + step] for lo in range(0, len(mine), step)):
+                index = np.full(len(doc), -1)
+                index[some] = np.arange(len(some))
+                here = slice(*np.searchsorted(row, [some[0], some[-1] + 1]))
+                at = index[row[here]]
+                picked = at >= 0
+                rows, sigs = _signatures(band, at[picked], h[here][picked], len(some))
                 out = np.empty(len(rows), RECORD)
-                out["sig"], out["doc"] = sigs, doc[mine][rows]
+                out["sig"], out["doc"] = sigs, doc[some][rows]
                 records.append(out)
-        if not records:
-            return
-        records = np.concatenate(records)
-        bucket = (records["sig"] >> np.uint64(64 - bits)).astype(np.int64)
+                many += len(out)
+                if many >= SEND_RECORDS:
+                    yield packed(records)
+                    records, many = [], 0
+        if records:
+            yield packed(records)
+
+    def packed(records: list[np.ndarray]) -> pa.RecordBatch:
+        """A row per bucket with its records."""
+        found = np.concatenate(records)
+        bucket = (found["sig"] >> np.uint64(64 - bits)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         kinds, at = np.unique(bucket[order], return_index=True)
-        packed = records[order]
-        blobs = [packed[a:b].tobytes() for a, b in zip(at, [*at[1:], len(packed)])]
-        yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(blobs, pa.binary())], ["bucket", "blob"])
+        found = found[order]
+        blobs = [found[a:b].tobytes() for a, b in zip(at, [*at[1:], len(found)])]
+        return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(blobs, pa.binary())], ["bucket", "blob"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, much = [], 0
@@ -295,13 +308,13 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     bits = max(1, ((buckets or 2 * width(spark)) - 1).bit_length())
 
-    profile = materialise(slim.mapInArrow(_profiling(k), "doc_id long, n_shingles long, print1 long, print2 long"), "profile")
+    profile = materialise(slim.mapInArrow(released(_profiling(k)), "doc_id long, n_shingles long, print1 long, print2 long"), "profile")
     prints = ["n_shingles", "print1", "print2"]
     classes = profile.where("n_shingles > 0").groupBy(*prints).agg(F.min("doc_id").alias("_rep"))
     known = profile.join(classes, prints, "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_rep", "doc_id")).alias("rep"))
     known = materialise(known, "classes")
 
-    signed = slim.where("doc_id IS NOT NULL").mapInArrow(_signing(k, percent, bits), "bucket long, blob binary")
+    signed = slim.where("doc_id IS NOT NULL").mapInArrow(released(_signing(k, percent, bits)), "bucket long, blob binary")
     groups = signed.groupBy("bucket").applyInArrow(_grouping, "grp long, doc long")
     reps = known.where("n_shingles > 0").select(F.col("doc_id").alias("doc"), "rep", F.col("n_shingles").alias("n")).distinct()
     members = materialise(groups.join(reps, "doc").select("grp", F.col("rep").alias("doc"), "n").distinct(), "groups")
@@ -319,7 +332,7 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
     def verified(pairs: DataFrame) -> DataFrame:
         with_b = pairs.hint("merge").join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
         with_a = with_b.hint("merge").join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
-        return with_a.select("a", "b", "text_a", "text_b").mapInArrow(_verifying(k, percent), "a long, b long").distinct()
+        return with_a.select("a", "b", "text_a", "text_b").mapInArrow(released(_verifying(k, percent)), "a long, b long").distinct()
 
     # Two texts under one id are one node: their classes are linked.
     several = known.where("n_shingles > 0").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
@@ -334,7 +347,7 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
     rest = materialise(rest.distinct().join(mixed_groups, "grp"), "rest")
     if rest.limit(1).count():
         wanted = rest.select("doc").distinct()
-        marks = texts.join(wanted, "doc", "left_semi").mapInArrow(_fingerprints(k), "doc long, n long, marks binary")
+        marks = texts.join(wanted, "doc", "left_semi").mapInArrow(released(_fingerprints(k)), "doc long, n long, marks binary")
         rows = rest.join(marks, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})

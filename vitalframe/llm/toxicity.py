@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.llm.spread import batches
-from vitalframe.llm.text import ALNUM, slabs
+from vitalframe.llm.text import ALNUM, released, slabs
 
 #: Labelled documents per class that the models are fitted to, the first by a digest of their ids.
 SAMPLE = 10_000
@@ -164,7 +164,7 @@ def score_toxicity(
     # At most 2 x sample ids: a broadcast of bounded size.
     learn = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(picked), "_id")
     learn = learn.dropDuplicates(["text", "toxic", "_fit"]).select("text", "toxic", "_fit")
-    models = word_models(learn.where("_fit").select("text", "toxic").mapInArrow(_counting, _PAIR))
+    models = word_models(learn.where("_fit").select("text", "toxic").mapInArrow(released(_counting), _PAIR))
 
     def rating(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -184,4 +184,4 @@ def score_toxicity(
             yield pa.RecordBatch.from_arrays([*part.columns, score], [*part.schema.names, "_toxicity"])
 
     schema = docs.withColumn("_toxicity", F.lit(0.0)).schema
-    return docs.mapInArrow(scoring, schema).withColumnRenamed("_toxicity", "toxicity")
+    return docs.mapInArrow(released(scoring), schema).withColumnRenamed("_toxicity", "toxicity")
