@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalframe.llm.decontaminate import find_leaks
-from vitalframe.llm.jaccard import near_copies
+from vitalframe.llm.jaccard import ARROW_ROWS, near_copies
 from vitalframe.llm.mixing import mix
 from vitalframe.llm.queries import OLD_SHARDS, id_remainder
 from vitalframe.llm.sharding import reshard
+from vitalframe.llm.spread import arrow_rows
 from vitalframe.llm.toxicity import score_toxicity
 from vitalframe.sources.scratch import materialise
 
@@ -23,8 +24,9 @@ SHINGLE, PERCENT = 5, 80
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents more likely toxic than not go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = score_toxicity(docs, labels, fit=id_remainder(5).isin(1, 2, 3), calibrate=id_remainder(5) == 4)
-    return scored.where("toxicity < 0.5").drop("toxicity")
+    with arrow_rows(spark, ARROW_ROWS):  # whole documents go through Python, so they are written here
+        scored = score_toxicity(docs, labels, fit=id_remainder(5).isin(1, 2, 3), calibrate=id_remainder(5) == 4)
+        return materialise(scored.where("toxicity < 0.5").drop("toxicity"), "not-toxic")
 
 
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
