@@ -48,6 +48,8 @@ CELLS = 512
 BLOCK = 1000
 
 RECORD = np.dtype([("sig", "<u8"), ("doc", "<i8")])
+#: Low bytes of a signature that travel. Unlike sets that agree in them are candidates that verification rejects.
+SIG_BYTES = 6
 
 
 @dataclass(frozen=True)
@@ -136,6 +138,24 @@ def _signatures(band: Band, row: np.ndarray, h: np.ndarray, n: int) -> tuple[np.
     return rows, mixed(sigs + salt)[shown]
 
 
+def _planes(records: np.ndarray) -> bytes:
+    """Records byte by byte: all first bytes, all second ones, ...; what ids share compresses then.
+
+    Of a signature SIG_BYTES stay, besides the bits that name the bucket.
+    """
+    sig, doc = (np.ascontiguousarray(records[c]).view(np.uint8).reshape(-1, 8).T for c in ("sig", "doc"))
+    return sig[:SIG_BYTES].tobytes() + doc.tobytes()
+
+
+def _records(blob: bytes) -> np.ndarray:
+    """What `_planes` packed."""
+    planes = np.frombuffer(blob, np.uint8).reshape(SIG_BYTES + 8, -1)
+    out = np.zeros((planes.shape[1], 2, 8), np.uint8)
+    out[:, 0, :SIG_BYTES] = planes[:SIG_BYTES].T
+    out[:, 1] = planes[SIG_BYTES:].T
+    return out.reshape(-1).view(RECORD)
+
+
 def _signing(k: int, percent: int, bits: int):
     def send(held: list) -> Iterator[pa.RecordBatch]:
         doc, size, prints = (np.concatenate([x[i] for x in held]) for i in range(3))
@@ -178,10 +198,10 @@ def _signing(k: int, percent: int, bits: int):
         """A row per bucket with its records."""
         found = np.concatenate(records)
         bucket = (found["sig"] >> np.uint64(64 - bits)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
+        order = np.lexsort((found["doc"], bucket))
         kinds, at = np.unique(bucket[order], return_index=True)
         found = found[order]
-        blobs = [found[a:b].tobytes() for a, b in zip(at, [*at[1:], len(found)])]
+        blobs = [_planes(found[a:b]) for a, b in zip(at, [*at[1:], len(found)])]
         return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(blobs, pa.binary())], ["bucket", "blob"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +222,7 @@ def _signing(k: int, percent: int, bits: int):
 
 def _grouping(table: pa.Table) -> pa.Table:
     """One bucket: the groups of two or more documents that share a signature, equal groups once."""
-    records = np.concatenate([np.frombuffer(b.as_buffer(), RECORD) for b in table.column("blob")])
+    records = np.concatenate([_records(b.as_buffer()) for b in table.column("blob")])
     records = records[np.lexsort((records["doc"], records["sig"]))]
     sig, doc = records["sig"], records["doc"]
     fresh = np.append(True, (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1]))
@@ -337,8 +357,16 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
     # Two texts under one id are one node: their classes are linked.
     several = known.where("n_shingles > 0").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
     same = known.where("n_shingles > 0").join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a <> b")
-    links = materialise(verified(star).union(same), "links")
-    found = components(links)
+    # Each member meets its smallest partner first; of the other pairs, those that are then connected need no texts.
+    near = materialise(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
+    links = materialise(verified(near).union(same), "links")
+    found = materialise(components(links), "components")
+    of_a, of_b = (found.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+    apart = star.join(near, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
+    apart = materialise(apart.where("NOT coalesce(ca, a) <=> coalesce(cb, b)").select("a", "b"), "pairs")
+    if apart.limit(1).count():
+        links = links.union(materialise(verified(apart), "links"))
+        found = components(links)
 
     rest = members.join(found, members.doc == found.node, "left").select("grp", "doc", F.coalesce("component", "doc").alias("component"))
     mixed_groups = rest.groupBy("grp").agg(
