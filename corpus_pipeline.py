@@ -13,20 +13,29 @@ from vitalframe.llm.jaccard import ARROW_ROWS, near_copies
 from vitalframe.llm.mixing import mix
 from vitalframe.llm.queries import OLD_SHARDS, id_remainder
 from vitalframe.llm.sharding import reshard
-from vitalframe.llm.spread import arrow_rows
 from vitalframe.llm.toxicity import score_toxicity
 from vitalframe.sources.scratch import materialise
 
 #: Word shingles of this length, and this Jaccard in percent, make near copies.
 SHINGLE, PERCENT = 5, 80
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole documents go through Python, also when a stage's rows are written: at most ARROW_ROWS at a time from here on.
+
+    A smaller setting of the session stays.
+    """
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= ARROW_ROWS:
+        spark.conf.set(BATCH_SETTING, str(ARROW_ROWS))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents more likely toxic than not go."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    with arrow_rows(spark, ARROW_ROWS):  # whole documents go through Python, so they are written here
-        scored = score_toxicity(docs, labels, fit=id_remainder(5).isin(1, 2, 3), calibrate=id_remainder(5) == 4)
-        return materialise(scored.where("toxicity < 0.5").drop("toxicity"), "not-toxic")
+    scored = score_toxicity(docs, labels, fit=id_remainder(5).isin(1, 2, 3), calibrate=id_remainder(5) == 4)
+    return scored.where("toxicity < 0.5").drop("toxicity")
 
 
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

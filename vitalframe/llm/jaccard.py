@@ -10,8 +10,9 @@ Documents that share a signature are candidates, which the words themselves veri
 
 1. exact copies are one class; only class representatives go on;
 2. in every signature's group, each member is verified against the smallest one, and links join components;
-3. groups that still hold several components compare the rest in blocks, by a bound that part fingerprints
-   give on the difference, and verify what the bound leaves.
+3. groups that still hold several components compare the rest in blocks, and verify what is left.
+
+Before any texts meet, sketches of the sets give a bound on the difference that leaves out most pairs.
 
 So no group of copies is ever expanded into its pairs, and no link between components is missed.
 """
@@ -42,8 +43,6 @@ BATCH_BYTES = 4 << 20
 SLICE_BYTES, SEND_RECORDS = 8 << 20, 1 << 19
 #: Rows with texts that a Python task takes at a time.
 ARROW_ROWS = 1000
-#: Parts of the fingerprint that bounds differences, one byte each.
-CELLS = 512
 #: Members of a group that one block holds.
 BLOCK = 1000
 
@@ -108,15 +107,37 @@ def _sums(owner: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _sketches(owner: np.ndarray, h: np.ndarray, size: np.ndarray) -> pa.Array:
+    """A byte per cell and set, a set of n shingles having n / 2 to n cells, a power of two, 8 at least.
+
+    A cell adds up a byte of each of its shingles' hashes, so cells that differ hold different shingles, and
+    a sketch folds to half its cells by adding its halves.
+    """
+    cells = np.maximum(8, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64) >> 1)
+    base = np.concatenate([[0], np.cumsum(cells)])
+    x = mixed(h ^ np.uint64(5))
+    at = base[owner] + (x & (cells[owner] - 1).astype(np.uint64)).astype(np.int64)
+    marks = np.zeros(base[-1], np.uint8)
+    np.add.at(marks, at, (x >> np.uint64(40)).astype(np.uint8))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(base), pa.py_buffer(marks)]).cast(pa.binary())
+
+
+def _folded(sketch: np.ndarray, cells: int) -> np.ndarray:
+    while len(sketch) > cells:
+        sketch = sketch[: len(sketch) // 2] + sketch[len(sketch) // 2 :]
+    return sketch
+
+
 def _profiling(k: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for lo, hi, owner, h in shingle_sets(part.column("text"), k):
                 n = hi - lo
+                size = np.bincount(owner, minlength=n)
                 prints = [_sums(owner, mixed(h ^ np.uint64(salt)), n).view(np.int64) for salt in (1, 2)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").slice(lo, n), pa.array(np.bincount(owner, minlength=n)), *map(pa.array, prints)],
-                    ["doc_id", "n_shingles", "print1", "print2"],
+                    [part.column("doc_id").slice(lo, n), pa.array(size), *map(pa.array, prints), _sketches(owner, h, size)],
+                    ["doc_id", "n_shingles", "print1", "print2", "marks"],
                 )
 
     return run
@@ -263,22 +284,19 @@ def _verifying(k: int, percent: int):
     return run
 
 
-def _fingerprints(k: int):
+def _bounding(percent: int):
+    """Pairs whose sketches don't rule out that they link: cells that differ are so many shingles at least."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for lo, hi, owner, h in shingle_sets(part.column("text"), k):
-                n = hi - lo
-                x = mixed(h ^ np.uint64(5))
-                cells = _sums(owner * CELLS + (x % np.uint64(CELLS)).astype(np.int64), mixed(x), n * CELLS)
-                marks = (cells >> np.uint64(56)).astype(np.uint8).reshape(n, CELLS)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc").slice(lo, n),
-                        pa.array(np.bincount(owner, minlength=n)),
-                        pa.array([row.tobytes() for row in marks], pa.binary()),
-                    ],
-                    ["doc", "n", "marks"],
-                )
+            both = np.asarray(part.column("n_a")) + np.asarray(part.column("n_b"))
+            differ = np.zeros(part.num_rows, np.int64)
+            for i, pair in enumerate(zip(part.column("marks_a"), part.column("marks_b"))):
+                a, b = (np.frombuffer(x.as_buffer(), np.uint8) for x in pair)
+                cells = min(len(a), len(b))
+                differ[i] = np.count_nonzero(_folded(a, cells) != _folded(b, cells))
+            near = pa.array((both - differ) * (100 + percent) >= 2 * percent * both)
+            yield pa.RecordBatch.from_arrays([part.column(c).filter(near) for c in "ab"], ["a", "b"])
 
     return run
 
@@ -288,7 +306,8 @@ def _comparing(percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         doc, component, n, block = (table.column(c).to_numpy() for c in ("doc", "component", "n", "block"))
-        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(doc), CELLS)
+        held = [np.frombuffer(x, np.uint8) for x in table.column("marks").to_pylist()]
+        marks = np.stack([_folded(x, min(map(len, held))) for x in held])
         low = table.column("low")[0].as_py()
         left = np.flatnonzero(block == low)
         right = np.flatnonzero(block != low) if (block != low).any() or table.column("high")[0].as_py() != low else left
@@ -328,7 +347,8 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     bits = max(1, ((buckets or 2 * width(spark)) - 1).bit_length())
 
-    profile = materialise(slim.mapInArrow(released(_profiling(k)), "doc_id long, n_shingles long, print1 long, print2 long"), "profile")
+    schema = "doc_id long, n_shingles long, print1 long, print2 long, marks binary"
+    profile = materialise(slim.mapInArrow(released(_profiling(k)), schema), "profile")
     prints = ["n_shingles", "print1", "print2"]
     classes = profile.where("n_shingles > 0").groupBy(*prints).agg(F.min("doc_id").alias("_rep"))
     known = profile.join(classes, prints, "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_rep", "doc_id")).alias("rep"))
@@ -343,17 +363,24 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
     star = members.join(firsts, "grp").where((F.col("doc") != F.col("first")) & fits).select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct()
     star = materialise(star, "pairs")
 
-    # A group of three or more can go on to the rest comparison whole, also members that don't fit its smallest.
-    onward = members.join(firsts.where("size > 2").select("grp"), "grp", "left_semi").select("doc")
-    involved = star.select(F.explode(F.array("a", "b")).alias("doc")).union(onward).distinct()
-    # Texts meet pairs by shuffle at every size: how many documents have candidates isn't bounded.
-    texts = materialise(slim.join(involved.hint("merge"), F.col("doc_id") == F.col("doc")).select("doc", "text"), "texts")
+    sketch = profile.where("n_shingles > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "marks")
+
+    def plausible(pairs: DataFrame) -> DataFrame:
+        for x in "ab":
+            side = sketch.select(F.col("doc").alias(x), F.col("n").alias(f"n_{x}"), F.col("marks").alias(f"marks_{x}"))
+            pairs = pairs.hint("merge").join(side, x)
+        return pairs.mapInArrow(released(_bounding(percent)), "a long, b long").distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
+        # Texts meet pairs by shuffle at every size: how many documents have candidates isn't bounded.
+        involved = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+        texts = materialise(slim.join(involved.hint("merge"), F.col("doc_id") == F.col("doc")).select("doc", "text"), "texts")
         with_b = pairs.hint("merge").join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
         with_a = with_b.hint("merge").join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
         return with_a.select("a", "b", "text_a", "text_b").mapInArrow(released(_verifying(k, percent)), "a long, b long").distinct()
 
+    star = materialise(plausible(star), "pairs")
+
     # Two texts under one id are one node: their classes are linked.
     several = known.where("n_shingles > 0").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
     same = known.where("n_shingles > 0").join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a <> b")
@@ -374,9 +401,7 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
     ).where("size > 2 AND c0 <> c1").select("grp", F.ceil(F.col("size") / BLOCK).alias("blocks"))
     rest = materialise(rest.distinct().join(mixed_groups, "grp"), "rest")
     if rest.limit(1).count():
-        wanted = rest.select("doc").distinct()
-        marks = texts.join(wanted, "doc", "left_semi").mapInArrow(released(_fingerprints(k)), "doc long, n long, marks binary")
-        rows = rest.join(marks, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+        rows = rest.join(sketch, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
         near = rows.select("grp", "low", "high", "block", "doc", "component", "n", "marks").groupBy("grp", "low", "high")
