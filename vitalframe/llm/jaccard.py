@@ -10,7 +10,8 @@ Documents that share a signature are candidates, which the words themselves veri
 
 1. exact copies are one class; only class representatives go on;
 2. in every signature's group, each member is verified against the smallest one, and links join components;
-3. groups that still hold several components compare the rest in blocks, and verify what is left.
+3. groups that still hold several components compare their members in blocks, and verify each one's nearest
+   partners first, then more, at last all that are left, so that few pairs are needed where one member links many.
 
 Before any texts meet, sketches of the sets give a bound on the difference that leaves out most pairs.
 
@@ -45,6 +46,8 @@ SLICE_BYTES, SEND_RECORDS = 8 << 20, 1 << 19
 ARROW_ROWS = 1000
 #: Members of a group that one block holds.
 BLOCK = 1000
+#: Partners that a member of a group of several components meets at most, round by round; at last all.
+NEAREST = (1, 8, 64, 512, None)
 
 RECORD = np.dtype([("sig", "<u8"), ("doc", "<i8")])
 #: Low bytes of a signature that travel. Unlike sets that agree in them are candidates that verification rejects.
@@ -301,8 +304,8 @@ def _bounding(percent: int):
     return run
 
 
-def _comparing(percent: int):
-    """One pair of blocks of a group: pairs from different components that the bound can't rule out."""
+def _comparing(percent: int, keep: int | None):
+    """One pair of blocks of a group: pairs from different components that the bound can't rule out, the ``keep`` nearest of each member."""
 
     def run(table: pa.Table) -> pa.Table:
         doc, component, n, block = (table.column(c).to_numpy() for c in ("doc", "component", "n", "block"))
@@ -316,10 +319,14 @@ def _comparing(percent: int):
             differ = (marks[right] != marks[i]).sum(1)
             both = n[right] + n[i]
             near = ((both - differ) * (100 + percent) >= 2 * percent * both) & (component[right] != component[i])
-            a.append(np.full(near.sum(), doc[i]))
-            b.append(doc[right[near]])
+            chosen = np.flatnonzero(near)
+            if keep is not None and len(chosen) > keep:
+                chosen = chosen[np.argsort(differ[chosen] / both[chosen], kind="stable")[:keep]]
+            a.append(np.full(len(chosen), doc[i]))
+            b.append(doc[right[chosen]])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        grp = np.full(len(a), table.column("grp")[0].as_py())
+        return pa.table({"grp": grp, "a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return run
 
@@ -395,19 +402,28 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
         links = links.union(materialise(verified(apart), "links"))
         found = components(links)
 
-    rest = members.join(found, members.doc == found.node, "left").select("grp", "doc", F.coalesce("component", "doc").alias("component"))
-    mixed_groups = rest.groupBy("grp").agg(
-        F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")
-    ).where("size > 2 AND c0 <> c1").select("grp", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    rest = materialise(rest.distinct().join(mixed_groups, "grp"), "rest")
-    if rest.limit(1).count():
+    # Groups that still hold several components: each member meets its nearest few, then more, at last all that are left.
+    tried, active = star, members.select("grp").distinct()
+    for keep in NEAREST:
+        rest = members.join(active, "grp", "left_semi").join(found, members.doc == found.node, "left")
+        rest = rest.select("grp", "doc", F.coalesce("component", "doc").alias("component"))
+        mixed_groups = rest.groupBy("grp").agg(
+            F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")
+        ).where("size > 2 AND c0 <> c1").select("grp", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+        rest = materialise(rest.distinct().join(mixed_groups, "grp"), "rest")
+        if not rest.limit(1).count():
+            break
         rows = rest.join(sketch, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-        near = rows.select("grp", "low", "high", "block", "doc", "component", "n", "marks").groupBy("grp", "low", "high")
-        pairs = materialise(near.applyInArrow(_comparing(percent), "a long, b long").distinct().join(star, ["a", "b"], "left_anti"), "pairs")
-        links = links.union(verified(pairs))
-        found = components(links)
+        blocks = rows.select("grp", "low", "high", "block", "doc", "component", "n", "marks").groupBy("grp", "low", "high")
+        pairs = materialise(blocks.applyInArrow(_comparing(percent, keep), "grp long, a long, b long"), "pairs")
+        active = pairs.select("grp").distinct()
+        fresh = materialise(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        if fresh.limit(1).count():
+            links = links.union(materialise(verified(fresh), "links"))
+            tried = tried.union(fresh)
+            found = materialise(components(links), "components")
     return known.join(found, known.rep == found.node, "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
     )
