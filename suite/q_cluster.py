@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from suite.facts import deaths, deaths_sql, table
 from suite.registry import query, rounded
-from vitalframe.operators import clustering, profile
+from vitalframe.operators import clustering, kmeans_search, profile
 from vitalframe.operators.counts import count_by
 
 _NUMERIC, _CATEGORICAL = ("edadif", "diaocu"), ("sexo", "areag", "escodif")
@@ -98,6 +98,31 @@ def kmeans_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.withColumn("pct", F.col("n") / total * 100)
 
 
+@query("SELECT CAST(unnest(range(2, 9)) AS INT) AS k, 10 AS starts, (SELECT count(*) FROM embeddings) AS n_rows, true AS falls, true AS in_range")
+def kmeans_joint_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k = 2..8 with ten starts over all embeddings, trained together: what must hold of the result for each k.
+
+    The rows in its clusters, that its cost is not above that of the k before by more than a start's luck (1 %), and that its
+    silhouette is one.
+    """
+    _, best = kmeans_search.search(_vectors(spark, sf_dir))
+    before = [best[0].cost, *[m.cost for m in best]]
+    rows = [
+        (m.k, 10, int(m.sizes.sum()), m.cost <= 1.01 * b, m.silhouette is None or -1 <= m.silhouette <= 1) for m, b in zip(best, before)
+    ]
+    return spark.createDataFrame(rows, "k int, starts int, n_rows long, falls boolean, in_range boolean")
+
+
+@query()
+def kmeans_joint_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster sizes of the chosen model of the search over the mixed death features; it is not fitted again."""
+    scaled, features = _scaled(spark, sf_dir)
+    points, best = kmeans_search.search(clustering.to_vectors(scaled, features))
+    sizes = count_by(kmeans_search.assign(points, kmeans_search.chosen(best)), "cluster")
+    total = sizes.agg(F.sum("n")).scalar()
+    return sizes.withColumn("pct", F.col("n") / total * 100)
+
+
 @query()
 def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two components of the embeddings with the share of variance they explain."""
