@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from vitalframe.operators.association import correlations
 from vitalframe.operators.counts import quantiles_of_counts, value_counts
+from vitalframe.operators.decode import nan_to_null
 from vitalframe.operators.sampling import sample_rows
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """``(bin, lo, hi, n)`` for equal bins over min..max; the last bin is closed on both sides."""
+    """``(bin, lo, hi, n)`` for equal bins over min..max; the last bin is closed on both sides. NaN is missing."""
+    df = nan_to_null(df)
     x = F.col(col).cast("double")
     edges = df.agg(F.min(x).alias("a"), F.max(x).alias("b"))
     flat = F.col("a") == F.col("b")
@@ -43,6 +45,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 def _box_base(df: DataFrame, col: str, by: str | None, whisker: float) -> tuple:
     keys = [by] if by else ["_all"]
+    df = nan_to_null(df)
     source = df if by else df.withColumn("_all", F.lit(0))
     flat = source.select(*keys, F.col(col).cast("double").alias("value"))
     counts = value_counts(flat, "value", keys)

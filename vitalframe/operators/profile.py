@@ -1,4 +1,4 @@
-"""Variable profiles and descriptive statistics, one row per column."""
+"""Variable profiles and descriptive statistics, one row per column. NaN is missing, as NULL is."""
 
 from __future__ import annotations
 
@@ -9,33 +9,24 @@ from pyspark.sql import functions as F
 
 from vitalframe.functions.numbers import round_half_even
 from vitalframe.operators.counts import exact_quantiles, melt, numeric_modes, value_counts
+from vitalframe.operators.decode import nan_to_null
 
 NUMERIC_TYPES = ("double", "float", "int", "bigint", "smallint", "tinyint")
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
+def is_numeric(kind: str) -> bool:
+    """Whether values of a type are numbers; decimals are."""
+    return kind in NUMERIC_TYPES or kind.startswith("decimal")
+
+
 def analysis_columns(df: DataFrame) -> list[str]:
     """Columns that are not lineage, i.e. do not start with an underscore."""
     return [c for c in df.columns if not c.startswith("_")]
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    return [
-        c for c, t in df.dtypes if (t in NUMERIC_TYPES or t.startswith("decimal")) and not c.startswith("_")
-    ]
-
-
-def categorical_columns(df: DataFrame) -> list[str]:
-    return [c for c in analysis_columns(df) if c not in numeric_columns(df)]
-
-
-def matching_columns(
-    cols: Sequence[str], contains: Sequence[str] = (), exclude: Sequence[str] = ()
-) -> list[str]:
-    """Column names containing any of the fragments (all names when none) and not excluded."""
-    return [
-        c for c in cols if (not contains or any(p in c for p in contains)) and c not in exclude
-    ]
+    return [c for c, t in df.dtypes if is_numeric(t) and not c.startswith("_")]
 
 
 def per_column(df: DataFrame, build: Mapping[str, Column]) -> DataFrame:
@@ -55,6 +46,7 @@ def variable_profile(
     Exact distinct counts group (column, value) pairs, which balances however skewed a column is.
     ``approx`` replaces that shuffle with a sketch per column in a single pass.
     """
+    df = nan_to_null(df)
     cols = list(cols if cols is not None else analysis_columns(df))
     if approx:
         stats = per_column(
@@ -98,6 +90,7 @@ def variable_profile(
 
 def missingness(df: DataFrame, min_pct: float = 0.0, cols: Sequence[str] | None = None) -> DataFrame:
     """``(column, n_null, pct_null)`` for columns above a NULL share; one pass, no shuffle."""
+    df = nan_to_null(df)
     cols = list(cols if cols is not None else analysis_columns(df))
     stats = per_column(
         df,
@@ -138,7 +131,7 @@ def select_columns(
     min_cover: float = 0.0,
 ) -> DataFrame:
     """Profile rows of ``numeric`` or ``categorical`` columns by cardinality and coverage."""
-    numeric = F.col("type").isin(*NUMERIC_TYPES)
+    numeric = F.col("type").isin(*NUMERIC_TYPES) | F.col("type").startswith("decimal")
     rule = numeric if kind == "numeric" else ~numeric
     rule &= F.col("n_unique") >= min_unique
     if max_unique is not None:
@@ -149,6 +142,7 @@ def select_columns(
 
 def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and bias-corrected shape in one pass."""
+    df = nan_to_null(df)
 
     def stats(c: str) -> Column:
         x = F.col(c).cast("double")
@@ -174,12 +168,12 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, q25, q50, q75)`` with linear interpolation."""
-    return exact_quantiles(df, cols, QUARTILES)
+    return exact_quantiles(nan_to_null(df), cols, QUARTILES)
 
 
 def order_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, q25, q50, q75, mode)``; smallest mode on ties."""
-    modes = numeric_modes(value_counts(melt(df, cols), "value", ["column"]), ["column"])
+    modes = numeric_modes(value_counts(melt(nan_to_null(df), cols), "value", ["column"]), ["column"])
     return quartiles(df, cols).join(modes, "column")
 
 
@@ -189,6 +183,7 @@ def numeric_describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -
     ``approx`` answers the quartiles from sketches, without any shuffle of values.
     """
     if approx:
+        df = nan_to_null(df)
         probs = list(QUARTILES.values())
         sketches = per_column(
             df,
@@ -225,12 +220,13 @@ def numeric_shape(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def summarize(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Summary of every column in one pass: type, range, sketches, moments, NULL share."""
+    df = nan_to_null(df)
     types = dict(df.dtypes)
     cols = list(cols if cols is not None else df.columns)
 
     def stats(c: str) -> Column:
         col = F.col(f"`{c}`")
-        numeric = types[c] in NUMERIC_TYPES
+        numeric = is_numeric(types[c])
         x = col.cast("double") if numeric else F.lit(None).cast("double")
         if numeric:
             quartiles = F.percentile_approx(x, [0.25, 0.5, 0.75])

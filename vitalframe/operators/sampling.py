@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalframe.sources.scratch import materialise
+
 _BOUNDS = [0.5**i for i in range(40)]
+#: Score ranges that are counted at a time, and scores that are few enough to look at one by one.
+_RANGES, _FEW = 1024, 10_000
 
 
 def sample_score(seed: int = 42, key: Sequence[str] = ()) -> Column:
@@ -36,20 +40,55 @@ def _tightest(kept: Sequence[int], n: int, keyed: bool) -> float:
     return min((b for b, k in zip(_BOUNDS, kept) if k >= need), default=1.0)
 
 
+def score_threshold(scored: DataFrame, n: int) -> tuple[float, int]:
+    """(t, m): all rows with a score under t, and m of those with exactly t, are the n rows of smallest score.
+
+    Counts by score range, at most ``_RANGES`` of them on the driver, narrow the range that holds t, until few scores are
+    left in it. With fewer than n rows t is 1.
+    """
+    score = F.col("_score")
+    lo, hi, need = 0.0, 1.0, n
+    while True:
+        step = (hi - lo) / _RANGES  # a power of two, so range limits are exact
+        inside = scored.where((score >= lo) & (score < hi))
+        at = F.floor((score - F.lit(lo)) / F.lit(step)).cast("int")
+        counts = sorted((r[0], r[1]) for r in inside.groupBy(at).count().collect())
+        if sum(c for _, c in counts) <= need:
+            return hi, 0
+        for bucket, count in counts:
+            if count > need:
+                break
+            need -= count
+        lo, hi = lo + bucket * step, lo + (bucket + 1) * step
+        if count <= _FEW or step <= 2.0**-50:  # scores are whole multiples of 2**-53
+            break
+    for value, count in sorted((r[0], r[1]) for r in scored.where((score >= lo) & (score < hi)).groupBy("_score").count().collect()):
+        if count > need:
+            return value, need
+        need -= count
+    return hi, 0
+
+
 def sample_rows(
     df: DataFrame, n: int, seed: int = 42, key: Sequence[str] = (), keep_score: bool = False
 ) -> DataFrame:
-    """``n`` random rows, or all rows when there are fewer.
+    """``n`` random rows, or all rows when there are fewer; exactly the rows of smallest score, in no order.
 
-    One planning aggregate counts the rows under each power-of-two score bound; the tightest bound
-    that still leaves ``n`` rows becomes a filter. So the final top-n merges a small multiple of
-    ``n`` rows in total rather than ``n`` rows per task, and the result is the same as without
-    the filter.
+    The exact score limit is found from counts, so taking the sample is a filter: nothing is sorted, and the
+    sample is spread over tasks as its rows are. Without a key a score may be drawn anew when the data is read
+    again, so a small multiple of ``n`` rows is written once, and the limit found among those.
     """
     scored = df.withColumn("_score", sample_score(seed, key))
-    bound = _tightest(_kept_per_bound(scored).first()["kept"], n, bool(key))
-    picked = scored if bound == 1.0 else scored.where(F.col("_score") < bound)
-    picked = picked.orderBy("_score").limit(n)
+    if not key:
+        bound = _tightest(_kept_per_bound(scored).first()["kept"], n, False)
+        drawn = materialise(scored.where(F.col("_score") < bound), "sample")
+        if bound < 1.0 and drawn.count() < n:
+            drawn = materialise(scored, "sample")
+        scored = drawn
+    limit, ties = score_threshold(scored, n)
+    picked = scored.where(F.col("_score") < limit)
+    if ties:
+        picked = picked.unionByName(scored.where(F.col("_score") == F.lit(limit)).limit(ties))
     return picked if keep_score else picked.drop("_score")
 
 
