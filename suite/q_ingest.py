@@ -167,6 +167,38 @@ def etl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return etl.run_load(spark, folder, root, labels=file_labels(spark, sf_dir)).report
 
 
+@query(
+    f"""{_INVENTORY_SQL}, held AS (SELECT *, is_duplicate OR dataset_type IN ('desconocido', 'error') AS kept_out FROM inventory)
+    SELECT filename, dataset_type AS dataset, year, CASE WHEN kept_out THEN 'held' ELSE 'loaded' END AS status,
+      CASE WHEN kept_out THEN 0 ELSE nrows END AS nrows FROM held"""
+)
+def load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every landed vintage, from the status table that the load keeps."""
+    root, _ = load_once(spark, sf_dir)
+    return etl.read_status(spark, root).select("filename", "dataset", "year", "status", "nrows")
+
+
+@query(
+    """SELECT CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS areag, o_orderstatus AS caudef,
+      CAST(o_custkey AS DOUBLE) + CASE WHEN o_orderstatus = 'P' THEN 0.5 ELSE 0 END AS edadif,
+      CASE WHEN o_orderstatus = 'P' THEN 'x' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS sexo, count(*) AS n
+    FROM orders GROUP BY ALL"""
+)
+def drifted_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One vintage whose part files differ in columns and types: whole, fractional and text values, one column missing."""
+    folder = f"{scratch_path(spark, 'parts')}/2012-deaths.parquet"
+    orders = table(spark, sf_dir, "orders")
+    shapes = {
+        "F": ("CAST(o_custkey AS INT) AS edadif", "CAST(o_custkey AS INT) AS sexo"),
+        "O": ("o_custkey AS edadif", "CAST(o_custkey AS SMALLINT) AS sexo", "o_orderpriority AS areag"),
+        "P": ("o_custkey + 0.5D AS edadif", "'x' || o_custkey AS sexo", "o_orderpriority AS areag"),
+    }
+    for status, cols in shapes.items():
+        part = orders.where(F.col("o_orderstatus") == status).selectExpr("o_orderstatus AS caudef", *cols)
+        part.write.mode("append").parquet(folder)
+    return count_by(landing.read_vintage(spark, folder), "areag", "caudef", "edadif", "sexo")
+
+
 @query(f"WITH {harmonised_sql(DEATHS_FILE_SQL, decoded=True)} SELECT * FROM harmonised")
 def curated_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deaths read back after the load, every column."""
@@ -443,6 +475,18 @@ def decode_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", decoded.alias("decoded"))
 
 
+@query(
+    """SELECT l_orderkey, CASE l_linenumber WHEN 1 THEN 'uno' WHEN 2 THEN 'dos' WHEN 3 THEN 'tres' WHEN 4 THEN 'cuatro'
+      WHEN 5 THEN 'cinco' WHEN 6 THEN '06' ELSE '7' END AS code,
+      CASE l_linenumber WHEN 7 THEN NULL ELSE '0' || l_linenumber END AS sentinel FROM lineitem"""
+)
+def text_code_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric labels on text codes, however the number is written; a rare one is a sentinel."""
+    code = "CASE l_linenumber WHEN 1 THEN '1.0' WHEN 2 THEN ' 2' WHEN 6 THEN '06' ELSE CAST(l_linenumber AS STRING) END"
+    coded = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", f"{code} AS code", "'0' || l_linenumber AS sentinel")
+    return decode.apply_labels(coded, {"CODE": LINE_LABELS["L_LINENUMBER"], "sentinel": {7.0: "Ignorado"}})
+
+
 @query(
     """SELECT l_orderkey, CASE WHEN l_quantity IN (49, 50) THEN NULL ELSE l_quantity END AS quantity
     FROM lineitem"""
