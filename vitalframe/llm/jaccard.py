@@ -47,7 +47,7 @@ ARROW_ROWS = 1000
 #: Members of a group that one block holds.
 BLOCK = 1000
 #: Partners that a member of a group of several components meets at most, round by round; at last all.
-NEAREST = (1, 8, 64, 512, None)
+NEAREST = (4, 64, None)
 
 RECORD = np.dtype([("sig", "<u8"), ("doc", "<i8")])
 #: Low bytes of a signature that travel. Unlike sets that agree in them are candidates that verification rejects.
@@ -305,7 +305,7 @@ def _bounding(percent: int):
 
 
 def _comparing(percent: int, keep: int | None):
-    """One pair of blocks of a group: pairs from different components that the bound can't rule out, the ``keep`` nearest of each member."""
+    """One pair of blocks of a group: pairs from different components that the bound can't rule out, the ``keep`` nearest of each member; ``cut`` if any has more."""
 
     def run(table: pa.Table) -> pa.Table:
         doc, component, n, block = (table.column(c).to_numpy() for c in ("doc", "component", "n", "block"))
@@ -314,19 +314,20 @@ def _comparing(percent: int, keep: int | None):
         low = table.column("low")[0].as_py()
         left = np.flatnonzero(block == low)
         right = np.flatnonzero(block != low) if (block != low).any() or table.column("high")[0].as_py() != low else left
-        a, b = [], []
+        a, b, cut = [], [], False
         for i in left:
             differ = (marks[right] != marks[i]).sum(1)
             both = n[right] + n[i]
             near = ((both - differ) * (100 + percent) >= 2 * percent * both) & (component[right] != component[i])
             chosen = np.flatnonzero(near)
             if keep is not None and len(chosen) > keep:
+                cut = True
                 chosen = chosen[np.argsort(differ[chosen] / both[chosen], kind="stable")[:keep]]
             a.append(np.full(len(chosen), doc[i]))
             b.append(doc[right[chosen]])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
         grp = np.full(len(a), table.column("grp")[0].as_py())
-        return pa.table({"grp": grp, "a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return pa.table({"grp": grp, "a": np.minimum(a, b), "b": np.maximum(a, b), "cut": np.full(len(a), cut)})
 
     return run
 
@@ -402,7 +403,7 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
         links = links.union(materialise(verified(apart), "links"))
         found = components(links)
 
-    # Groups that still hold several components: each member meets its nearest few, then more, at last all that are left.
+    # Groups that still hold several components: each member meets its nearest few; where it has more, then more, at last all.
     tried, active = star, members.select("grp").distinct()
     for keep in NEAREST:
         rest = members.join(active, "grp", "left_semi").join(found, members.doc == found.node, "left")
@@ -417,8 +418,8 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
         blocks = rows.select("grp", "low", "high", "block", "doc", "component", "n", "marks").groupBy("grp", "low", "high")
-        pairs = materialise(blocks.applyInArrow(_comparing(percent, keep), "grp long, a long, b long"), "pairs")
-        active = pairs.select("grp").distinct()
+        pairs = materialise(blocks.applyInArrow(_comparing(percent, keep), "grp long, a long, b long, cut boolean"), "pairs")
+        active = pairs.where("cut").select("grp").distinct()
         fresh = materialise(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         if fresh.limit(1).count():
             links = links.union(materialise(verified(fresh), "links"))
