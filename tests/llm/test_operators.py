@@ -8,12 +8,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from vitalframe.llm.chat import canonical, link_calls
 from vitalframe.llm.decontaminate import find_leaks
-from vitalframe.llm.jaccard import bands, near_copies
+from vitalframe.llm.jaccard import _comparing, bands, near_copies
 from vitalframe.llm.langid import identify, learn_filter
 from vitalframe.llm.mixing import curriculum, mix
 from vitalframe.llm.ppm import score_texts
@@ -415,3 +416,29 @@ def test_empty_tables(spark, run):
 def test_kept_text_digest(docs):
     kept = remove_repeats(docs).select("kept", F.sha2("kept", 256).alias("digest")).collect()
     assert all(hashlib.sha256(r.kept.encode()).hexdigest() == r.digest for r in kept)
+
+
+def test_blocks_of_a_mixed_group_cover_all_pairs():
+    rng = np.random.default_rng(5)
+    n, blocks = 60, 3
+    doc, block = np.arange(n), rng.integers(0, blocks, n)
+    component = np.where(rng.random(n) < 0.6, 0, rng.integers(0, 12, n))
+    marks = [bytes(x) for x in rng.integers(0, 256, (n, 8), dtype=np.uint8)]
+    found = []
+    for low in range(blocks):
+        for high in range(low, blocks):
+            at = np.flatnonzero((block == low) | (block == high))
+            table = pa.table(
+                {
+                    "grp": np.full(len(at), 7), "low": np.full(len(at), low), "high": np.full(len(at), high), "block": block[at],
+                    "doc": doc[at], "component": component[at], "n": np.full(len(at), 20), "marks": [marks[i] for i in at],
+                }
+            )
+            pairs = _comparing(1, None)(table).to_pydict()
+            assert not any(pairs["cut"])
+            found += [*zip(pairs["a"], pairs["b"])]
+            few = _comparing(1, 1)(table).to_pydict()
+            assert set(zip(few["a"], few["b"])) <= set(zip(pairs["a"], pairs["b"]))
+            assert all(few["cut"]) or set(zip(few["a"], few["b"])) == set(zip(pairs["a"], pairs["b"]))
+    wanted = {(a, b) for a in range(n) for b in range(a + 1, n) if component[a] != component[b]}
+    assert len(found) == len(set(found)) and set(found) == wanted

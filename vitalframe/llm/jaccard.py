@@ -10,8 +10,9 @@ Documents that share a signature are candidates, which the words themselves veri
 
 1. exact copies are one class; only class representatives go on;
 2. in every signature's group, each member is verified against the smallest one, and links join components;
-3. groups that still hold several components compare their members in blocks, and verify each one's nearest
-   partners first, then more, at last all that are left, so that few pairs are needed where one member links many.
+3. groups that still hold several components compare their members in blocks: those outside the largest component
+   verify their nearest partners first, then more, at last all that are left, so that few pairs are needed where
+   one member links many.
 
 Before any texts meet, sketches of the sets give a bound on the difference that leaves out most pairs.
 
@@ -305,29 +306,40 @@ def _bounding(percent: int):
 
 
 def _comparing(percent: int, keep: int | None):
-    """One pair of blocks of a group: pairs from different components that the bound can't rule out, the ``keep`` nearest of each member; ``cut`` if any has more."""
+    """One pair of blocks of a group: pairs from different components that the bound can't rule out; ``cut`` if there are more.
+
+    Members of the largest component here wait for the others, each of which takes its ``keep`` nearest partners. Of two
+    members from different components one is outside the largest, so in the last round, without ``keep``, no pair is left out.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         doc, component, n, block = (table.column(c).to_numpy() for c in ("doc", "component", "n", "block"))
         held = [np.frombuffer(x, np.uint8) for x in table.column("marks").to_pylist()]
         marks = np.stack([_folded(x, min(map(len, held))) for x in held])
-        low = table.column("low")[0].as_py()
-        left = np.flatnonzero(block == low)
-        right = np.flatnonzero(block != low) if (block != low).any() or table.column("high")[0].as_py() != low else left
+        kinds, sizes = np.unique(component, return_counts=True)
+        waits = component == kinds[sizes.argmax()]
+        low, high = (table.column(c)[0].as_py() for c in ("low", "high"))
+        left, right = block == low, block == high
+        sides = [(left, right)] if low == high else [(left, right), (right, left & waits)]
         a, b, cut = [], [], False
-        for i in left:
-            differ = (marks[right] != marks[i]).sum(1)
-            both = n[right] + n[i]
-            near = ((both - differ) * (100 + percent) >= 2 * percent * both) & (component[right] != component[i])
-            chosen = np.flatnonzero(near)
-            if keep is not None and len(chosen) > keep:
-                cut = True
-                chosen = chosen[np.argsort(differ[chosen] / both[chosen], kind="stable")[:keep]]
-            a.append(np.full(len(chosen), doc[i]))
-            b.append(doc[right[chosen]])
+        for own, others in sides:
+            others = np.flatnonzero(others)
+            for i in np.flatnonzero(own & ~waits):
+                differ = (marks[others] != marks[i]).sum(1)
+                both = n[others] + n[i]
+                near = ((both - differ) * (100 + percent) >= 2 * percent * both) & (component[others] != component[i])
+                chosen = np.flatnonzero(near)
+                if keep is not None and len(chosen) > keep:
+                    cut = True
+                    chosen = chosen[np.argsort(differ[chosen] / both[chosen], kind="stable")[:keep]]
+                a.append(np.full(len(chosen), doc[i]))
+                b.append(doc[others[chosen]])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        if len(a):
+            a, b = np.unique(np.stack([a, b]), axis=1)
         grp = np.full(len(a), table.column("grp")[0].as_py())
-        return pa.table({"grp": grp, "a": np.minimum(a, b), "b": np.maximum(a, b), "cut": np.full(len(a), cut)})
+        return pa.table({"grp": grp, "a": a, "b": b, "cut": np.full(len(a), cut)})
 
     return run
 
@@ -403,7 +415,7 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
         links = links.union(materialise(verified(apart), "links"))
         found = components(links)
 
-    # Groups that still hold several components: each member meets its nearest few; where it has more, then more, at last all.
+    # Groups that still hold several components: each member outside the largest meets its nearest few; where it has more, then more, at last all.
     tried, active = star, members.select("grp").distinct()
     for keep in NEAREST:
         rest = members.join(active, "grp", "left_semi").join(found, members.doc == found.node, "left")
