@@ -287,6 +287,23 @@ def h4_street_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _z_row(hypotheses.street_test(deaths(spark, sf_dir, "ocur", "sexo", "edadif")))
 
 
+@query(
+    f"""WITH {deaths_sql('ocur', 'sexo', 'edadif')}, {_STREET},
+    s AS (SELECT sexo, count(edadif) AS n, stddev_samp(edadif) * pow(count(edadif), -0.2) AS h, min(edadif) AS lo,
+      max(edadif) AS hi FROM street WHERE sexo IS NOT NULL GROUP BY 1 HAVING stddev_samp(edadif) > 0),
+    v AS (SELECT sexo, edadif AS v, count(*) AS c FROM street WHERE sexo IS NOT NULL AND edadif IS NOT NULL GROUP BY 1, 2),
+    g AS (SELECT sexo, n, h, CAST(i AS INT) AS i, lo - 3 * h + i * ((hi - lo + 6 * h) / 199) AS x
+      FROM s, (SELECT unnest(range(200)) AS i))
+    SELECT sexo, i, round(x, 4) AS x,
+      round(sum(c * exp(-pow((x - v) / h, 2) / 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 6) AS density
+    FROM g JOIN v USING (sexo) GROUP BY sexo, i, x"""
+)
+def h4_street_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age at death in public places, a curve for each sex."""
+    curve = hypotheses.street_density(deaths(spark, sf_dir, "ocur", "sexo", "edadif"))
+    return curve.select("sexo", "i", F.round("x", 4).alias("x"), F.round("density", 6).alias("density"))
+
+
 _AREA_CELLS = """SELECT areag, CASE WHEN asist = 'Ninguna' THEN 'Sin' ELSE 'Con' END AS k,
     count(*) AS n FROM deaths WHERE areag IN ('Rural', 'Urbano') GROUP BY 1, 2"""
 
