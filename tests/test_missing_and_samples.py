@@ -62,3 +62,13 @@ def test_samples_of_equal_keys_and_without_keys(spark):
     assert sampling.sample_rows(same, 12_345, key=["k"]).count() == 12_345
     assert sampling.sample_rows(spark.range(0, 50_000, 1, 5), 20_000).count() == 20_000
     assert sampling.sample_rows(spark.range(10), 20).count() == 10 and sampling.sample_rows(spark.range(0), 5, key=["id"]).count() == 0
+
+
+def test_density_curve_leaves_nan_out(spark):
+    clean = [("a", float(x)) for x in (1, 2, 2, 5)]
+    schema = "g string, x double"
+    with_nan = spark.createDataFrame([*clean, ("a", NAN), ("a", None)], schema)
+    same = charts.density_curve(spark.createDataFrame(clean, schema), "x", "g").orderBy("i").collect()
+    found = charts.density_curve(with_nan, "x", "g").orderBy("i").collect()
+    assert len(found) == 200
+    assert all(abs(f.x - s.x) < 1e-12 and abs(f.density - s.density) < 1e-12 for f, s in zip(found, same))

@@ -104,9 +104,9 @@ def density_curve(
 
     Scott's bandwidth; the grid reaches ``cut`` bandwidths past the data. Equal values are counted
     first and each distinct value is expanded to the fixed grid inside the map side of the final
-    sum, so the shuffle carries grid points only.
+    sum, so the shuffle carries grid points only. NaN is missing.
     """
-    flat = df.select(by, F.col(col).cast("double").alias("value"))
+    flat = nan_to_null(df.select(by, F.col(col).cast("double").alias("value")))
     spread = (
         flat.dropna()
         .groupBy(by)
