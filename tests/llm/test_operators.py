@@ -442,3 +442,28 @@ def test_blocks_of_a_mixed_group_cover_all_pairs():
             assert all(few["cut"]) or set(zip(few["a"], few["b"])) == set(zip(pairs["a"], pairs["b"]))
     wanted = {(a, b) for a in range(n) for b in range(a + 1, n) if component[a] != component[b]}
     assert len(found) == len(set(found)) and set(found) == wanted
+
+
+def test_members_meet_in_the_first_group_they_share():
+    """Members of several groups, each carrying its first groups only: a pair that shares groups is found, mostly in one."""
+    rng = np.random.default_rng(3)
+    n, groups = 40, np.sort(rng.integers(-(2**62), 2**62, 60))
+    of = [np.sort(rng.choice(groups, rng.integers(1, 40), replace=False)) for _ in range(n)]
+    component = rng.integers(0, 6, n)
+    marks = np.zeros(8, np.uint8).tobytes()
+    found = Counter()
+    for g in groups:
+        inside = np.array([i for i in range(n) if g in of[i]], dtype=np.int64)
+        if len(inside) < 2:
+            continue
+        table = pa.table(
+            {
+                "grp": np.full(len(inside), g), "low": np.zeros(len(inside), np.int64), "high": np.zeros(len(inside), np.int64),
+                "block": np.zeros(len(inside), np.int64), "doc": inside, "component": component[inside], "n": np.full(len(inside), 20),
+                "marks": [marks] * len(inside), "groups": pa.array([of[i][:16].tolist() for i in inside], pa.list_(pa.int64())),
+            }
+        )
+        pairs = _comparing(1, None)(table).to_pydict()
+        found.update(zip(pairs["a"], pairs["b"]))
+    wanted = {(a, b) for a in range(n) for b in range(a + 1, n) if component[a] != component[b] and set(of[a]) & set(of[b])}
+    assert set(found) == wanted and found.total() < 2 * len(wanted)

@@ -12,7 +12,7 @@ Documents that share a signature are candidates, which the words themselves veri
 2. in every signature's group, each member is verified against the smallest one, and links join components;
 3. groups that still hold several components compare their members in blocks: those outside the largest component
    verify their nearest partners first, then more, at last all that are left, so that few pairs are needed where
-   one member links many.
+   one member links many. Members that share many groups meet in the first of them.
 
 Before any texts meet, sketches of the sets give a bound on the difference that leaves out most pairs.
 
@@ -49,6 +49,9 @@ ARROW_ROWS = 1000
 BLOCK = 1000
 #: Partners that a member of a group of several components meets at most, round by round; at last all.
 NEAREST = (4, 64, None)
+#: Groups, the first in order, that a member carries along to tell in which one it meets another. With fewer, more pairs
+#: come from several groups; none is left out.
+CARRIED = 16
 
 RECORD = np.dtype([("sig", "<u8"), ("doc", "<i8")])
 #: Low bytes of a signature that travel. Unlike sets that agree in them are candidates that verification rejects.
@@ -310,6 +313,9 @@ def _comparing(percent: int, keep: int | None):
 
     Members of the largest component here wait for the others, each of which takes its ``keep`` nearest partners. Of two
     members from different components one is outside the largest, so in the last round, without ``keep``, no pair is left out.
+
+    ``groups`` holds the first groups of each member in ascending order. A pair is passed over if both name a group that
+    comes before this one, for they meet there as well. In the first group that they share they always meet.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -319,6 +325,13 @@ def _comparing(percent: int, keep: int | None):
         kinds, sizes = np.unique(component, return_counts=True)
         waits = component == kinds[sizes.argmax()]
         low, high = (table.column(c)[0].as_py() for c in ("low", "high"))
+        grp = table.column("grp")[0].as_py()
+        earlier = np.full((len(doc), CARRIED), grp)
+        if "groups" in table.column_names:
+            names = table.column("groups").combine_chunks()
+            many = np.diff(names.offsets.to_numpy())
+            place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            earlier[np.repeat(np.arange(len(doc)), many), place] = np.minimum(names.flatten().to_numpy(), grp)
         left, right = block == low, block == high
         sides = [(left, right)] if low == high else [(left, right), (right, left & waits)]
         a, b, cut = [], [], False
@@ -329,6 +342,9 @@ def _comparing(percent: int, keep: int | None):
                 both = n[others] + n[i]
                 near = ((both - differ) * (100 + percent) >= 2 * percent * both) & (component[others] != component[i])
                 chosen = np.flatnonzero(near)
+                before = earlier[i][earlier[i] < grp]
+                if len(before):
+                    chosen = chosen[~np.isin(earlier[others[chosen]], before).any(1)]
                 if keep is not None and len(chosen) > keep:
                     cut = True
                     chosen = chosen[np.argsort(differ[chosen] / both[chosen], kind="stable")[:keep]]
@@ -338,8 +354,7 @@ def _comparing(percent: int, keep: int | None):
         a, b = np.minimum(a, b), np.maximum(a, b)
         if len(a):
             a, b = np.unique(np.stack([a, b]), axis=1)
-        grp = np.full(len(a), table.column("grp")[0].as_py())
-        return pa.table({"grp": grp, "a": a, "b": b, "cut": np.full(len(a), cut)})
+        return pa.table({"grp": np.full(len(a), grp), "a": a, "b": b, "cut": np.full(len(a), cut)})
 
     return run
 
@@ -426,10 +441,11 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
         rest = materialise(rest.distinct().join(mixed_groups, "grp"), "rest")
         if not rest.limit(1).count():
             break
-        rows = rest.join(sketch, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+        first = rest.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list("grp")), 1, CARRIED).alias("groups"))
+        rows = rest.join(first.join(sketch, "doc"), "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-        blocks = rows.select("grp", "low", "high", "block", "doc", "component", "n", "marks").groupBy("grp", "low", "high")
+        blocks = rows.select("grp", "low", "high", "block", "doc", "component", "n", "marks", "groups").groupBy("grp", "low", "high")
         pairs = materialise(blocks.applyInArrow(_comparing(percent, keep), "grp long, a long, b long, cut boolean"), "pairs")
         active = pairs.where("cut").select("grp").distinct()
         fresh = materialise(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
