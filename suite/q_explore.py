@@ -9,7 +9,7 @@ from suite.facts import deaths, deaths_sql, table
 from suite.q_query import MEASURES
 from suite.registry import query, rounded
 from vitalframe.functions.text import contains_ignore_case
-from vitalframe.operators import association, charts, crosstab, frequency, outliers
+from vitalframe.operators import association, charts, crosstab, frequency, gram, outliers
 from vitalframe.operators import counts
 from vitalframe.operators.counts import count_by
 from vitalframe.operators.sampling import sample_per_group
@@ -159,6 +159,51 @@ def correlation_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(association.ranked_correlations(table(spark, sf_dir, "lineitem"), MEASURES))
 
 
+#: A component nearer to zero than this counts as missing, so that pairs of columns share different rows.
+_SMALL = 0.01
+
+
+@query(
+    f"""WITH u AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings),
+    p AS (SELECT vec_id, i, x FROM u WHERE abs(x) >= {_SMALL})
+    SELECT 'e' || a.i AS a, 'e' || b.i AS b, count(*) AS n, round(corr(a.x, b.x), 4) + 0.0 AS r
+    FROM p AS a JOIN p AS b USING (vec_id) GROUP BY 1, 2"""
+)
+def correlation_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every component of the vectors as a column with missing values, against every other."""
+    vectors = table(spark, sf_dir, "embeddings")
+    width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    x = [F.get("embedding", F.lit(i)).cast("double") for i in range(width)]
+    columns = vectors.select(*[F.when(F.abs(c) >= _SMALL, c).alias(f"e{i}") for i, c in enumerate(x)])
+    return rounded(gram.wide_correlations(columns, columns.columns))
+
+
+@query(
+    """WITH cells AS (SELECT p_name AS name, p_brand AS brand, count(*) AS n FROM part WHERE p_name IS NOT NULL AND p_brand IS NOT NULL GROUP BY 1, 2),
+    m AS (SELECT *, sum(n) OVER (PARTITION BY name)::BIGINT AS row_total, sum(n) OVER (PARTITION BY brand)::BIGINT AS col_total, sum(n) OVER ()::DOUBLE AS total FROM cells)
+    SELECT name, brand, n, row_total, col_total, round(n::DOUBLE / row_total * 100, 4) AS row_pct, round(row_total / total * col_total, 4) AS expected FROM m"""
+)
+def contingency_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the cells that occur, with margins, row percentages and expected counts."""
+    parts = table(spark, sf_dir, "part").selectExpr("p_name AS name", "p_brand AS brand")
+    return rounded(crosstab.contingency(parts, "name", "brand"))
+
+
+#: The column categories that are asked for, one of which never occurs.
+_LISTED = ("Brand#11", "Brand#22", "Brand#33", "Brand#00")
+
+
+@query(
+    f"""WITH cells AS (SELECT p_name AS name, p_brand AS brand, count(*) AS n FROM part WHERE p_name IS NOT NULL AND p_brand IS NOT NULL GROUP BY 1, 2)
+    SELECT name, brand, coalesce(n, 0) AS n FROM (SELECT DISTINCT name FROM cells)
+    CROSS JOIN (SELECT unnest({list(_LISTED)}) AS brand) LEFT JOIN cells USING (name, brand)"""
+)
+def crosstab_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts with zeros for the listed column categories."""
+    parts = table(spark, sf_dir, "part").selectExpr("p_name AS name", "p_brand AS brand")
+    return crosstab.listed_cells(parts, "name", "brand", _LISTED)
+
+
 _GRID_SQL = f"""WITH {deaths_sql('areag', 'asist')}, cells AS (
       SELECT areag, asist, count(*) AS n FROM deaths
       WHERE areag IS NOT NULL AND asist IS NOT NULL GROUP BY 1, 2),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vitalframe.functions.pvalues import chi2_tail, normal_tail
 from vitalframe.operators.counts import midranks
-from vitalframe.operators.crosstab import cells, complete_grid
+from vitalframe.operators.crosstab import cells, complete_grid, with_margins
 
 ALPHA = 0.05
 
@@ -70,28 +70,25 @@ def _test_row(stats: DataFrame, name: str, tail: Column, alpha: float) -> DataFr
     )
 
 
-def _with_margins(observed: DataFrame, row: str, col: str, n: str) -> DataFrame:
-    present = observed.dropna(subset=[row, col]).where(F.col(n) > 0)
-    merged = present.groupBy(row, col).agg(F.sum(n).cast("double").alias("_o"))
-    return merged.withColumn(
-        "_r", F.sum("_o").over(Window.partitionBy(row))
-    ).withColumn("_c", F.sum("_o").over(Window.partitionBy(col)))
-
-
 def chi2_statistic(observed: DataFrame, row: str, col: str, n: str = "n") -> DataFrame:
     """``(n, statistic, dof)`` of a contingency table given as long cells.
 
-    Zero cells need not be present: ``N (sum n²/(R C) - 1)``. At one degree of freedom all four
-    deviations are equal, so the continuity correction also follows from the margins.
+    Zero cells need not be present: each adds its expected count, and together they add what the observed cells'
+    expected counts leave of N. At one degree of freedom all four deviations are equal, so the continuity correction
+    also follows from the margins.
     """
-    marked = _with_margins(observed, row, col, n)
-    o, r, c = F.col("_o"), F.col("_r"), F.col("_c")
+    marked = with_margins(observed, row, col, n)
+    grand = observed.dropna(subset=[row, col]).where(F.col(n) > 0).agg(F.sum(n).cast("double")).scalar()
+    o, r, c = (F.col(x).cast("double") for x in (n, "row_total", "col_total"))
+    expected = r / grand * c
     # 1/R spread over the cells of its row, so that summing cells sums rows once; same for C.
     per_row = o / (r * r)
     per_col = o / (c * c)
     sums = marked.agg(
-        F.sum("_o").alias("_n"),
-        F.sum(o * o / (r * c)).alias("_q"),
+        F.sum(o).alias("_n"),
+        F.count("*").alias("_cells"),
+        F.sum((o - expected) * (o - expected) / expected).alias("_q"),
+        F.sum(expected).alias("_e"),
         F.sum(per_row).alias("_ir"),
         F.sum(per_col).alias("_ic"),
         F.count_distinct(row).alias("_nr"),
@@ -102,7 +99,8 @@ def chi2_statistic(observed: DataFrame, row: str, col: str, n: str = "n") -> Dat
     deviation = F.abs(F.col("_any.o") - F.col("_any.r") * F.col("_any.c") / total)
     corrected = F.greatest(deviation - 0.5, F.lit(0.0))
     yates = corrected * corrected * total * F.col("_ir") * F.col("_ic")
-    plain = F.greatest(total * (F.col("_q") - 1), F.lit(0.0))
+    absent = F.when(F.col("_cells") < F.col("_nr") * F.col("_nc"), F.greatest(total - F.col("_e"), F.lit(0.0))).otherwise(0.0)
+    plain = F.col("_q") + absent
     dof = (F.col("_nr") - 1) * (F.col("_nc") - 1)
     return sums.select(
         total.cast("long").alias("n"),

@@ -15,6 +15,10 @@ from vitalframe.operators.decode import nan_to_null
 from vitalframe.operators.sampling import sample_rows
 
 
+#: Bandwidths beyond which a Gaussian kernel is zero in double precision: exp(-x * x / 2) underflows.
+REACH = 38.7
+
+
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """``(bin, lo, hi, n)`` for equal bins over min..max; the last bin is closed on both sides. NaN is missing."""
     df = nan_to_null(df)
@@ -103,8 +107,8 @@ def density_curve(
     """Gaussian density per group, each integrating to 1: ``(by, x, density)``.
 
     Scott's bandwidth; the grid reaches ``cut`` bandwidths past the data. Equal values are counted
-    first and each distinct value is expanded to the fixed grid inside the map side of the final
-    sum, so the shuffle carries grid points only. NaN is missing.
+    first and each distinct value is expanded, inside the map side of the final sum, to the grid points
+    within ``REACH`` bandwidths, beyond which the kernel is zero; the shuffle carries grid points only. NaN is missing.
     """
     flat = nan_to_null(df.select(by, F.col(col).cast("double").alias("value")))
     spread = (
@@ -122,18 +126,18 @@ def density_curve(
     step = (F.col("_hi") - F.col("_lo") + 2 * cut * F.col("_h")) / (grid - 1)
     spread = spread.withColumn("_x0", F.col("_lo") - cut * F.col("_h")).withColumn("_step", step)
     points = value_counts(flat, "value", [by]).join(spread.drop("_lo", "_hi", "_sd"), by)
-    points = points.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    near = (F.col("value") - F.col("_x0")) / F.col("_step")
+    reach = REACH * F.col("_h") / F.col("_step")
+    first = F.greatest(F.ceil(near - reach), F.lit(0)).cast("int")
+    last = F.least(F.floor(near + reach), F.lit(grid - 1)).cast("int")
+    points = points.where(first <= last).withColumn("i", F.explode(F.sequence(first, last)))
     x = F.col("_x0") + F.col("i") * F.col("_step")
     u = (x - F.col("value")) / F.col("_h")
     scale = F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)
-    return (
-        points.groupBy(by, "i")
-        .agg(
-            F.first(x).alias("x"),
-            F.sum(F.col("n") * F.exp(-u * u / 2) / scale).alias("density"),
-        )
-        .select(by, "i", "x", "density")
-    )
+    # Points out of every value's reach are there, too.
+    frame = spread.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1)))).select(by, "i", x.alias("x"), F.lit(0.0).alias("_d"))
+    met = points.select(by, "i", x.alias("x"), (F.col("n") * F.exp(-u * u / 2) / scale).alias("_d"))
+    return met.unionByName(frame).groupBy(by, "i").agg(F.first("x").alias("x"), F.sum("_d").alias("density"))
 
 
 def scatter_pairs(cols: Sequence[str], pairs: int = 6) -> list[tuple[str, str]]:

@@ -14,6 +14,37 @@ def cells(df: DataFrame, row: str, col: str) -> DataFrame:
     return present.groupBy(row, col).agg(F.count("*").alias("n"))
 
 
+def with_margins(observed: DataFrame, row: str, col: str, n: str = "n") -> DataFrame:
+    """``(row, col, n, row_total, col_total)`` of the observed cells.
+
+    Each margin is an aggregate joined back by shuffle, whose skewed side may be split: a category with a third of all cells
+    needs no task of its own. Rows with a NULL key and zero cells are dropped, equal cells are added up.
+    """
+    present = observed.dropna(subset=[row, col]).where(F.col(n) > 0)
+    merged = present.groupBy(row, col).agg(F.sum(n).alias(n))
+    out = merged
+    for key, total in ((row, "row_total"), (col, "col_total")):
+        margin = merged.groupBy(F.col(key).alias("_key")).agg(F.sum(n).alias(total))
+        out = out.join(margin, F.col(key) == F.col("_key")).drop("_key")
+    return out.select(row, col, n, "row_total", "col_total")
+
+
+def contingency(df: DataFrame, row: str, col: str) -> DataFrame:
+    """Observed cells with margins: ``(row, col, n, row_total, col_total, row_pct, expected)``. Absent cells are zero."""
+    marked = with_margins(cells(df, row, col), row, col)
+    total = df.dropna(subset=[row, col]).agg(F.count("*")).scalar()
+    return marked.withColumns(
+        {"row_pct": F.col("n") / F.col("row_total") * 100, "expected": F.col("row_total") / total * F.col("col_total")}
+    )
+
+
+def listed_cells(df: DataFrame, row: str, col: str, values: Sequence) -> DataFrame:
+    """``(row, col, n)`` for every row category and each of the listed column values, zeros included; others are left out."""
+    observed = cells(df, row, col)
+    wanted = observed.select(row).distinct().withColumn(col, F.explode(F.array(*map(F.lit, dict.fromkeys(values)))))
+    return wanted.join(observed, [row, col], "left").select(row, col, F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def complete_grid(observed: DataFrame, row: str, col: str, n: str = "n") -> DataFrame:
     """Add zero cells so that every row category meets every column category.
 
