@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from vitalframe.operators.decode import nan_to_null
 
+#: Every document repeats all field names, so files are compressed; readers go by their ending.
+COMPRESSION = "gzip"
+
 
 def to_documents(df: DataFrame, collection: str) -> DataFrame:
     """``(value, collection)``: one JSON text per row, NaN written as null, all fields kept."""
@@ -22,14 +25,14 @@ def insert_documents(
 ) -> int:
     """Write all collections in one job and return the number of documents.
 
-    ``reload`` drops every stored collection first. ``batch_size`` caps the documents per file;
-    leave it unset on large data so that files keep a useful size.
+    ``reload`` drops every stored collection first. ``batch_size`` caps the documents per file, and such files stay
+    plain text for tools that take batches; leave it unset on large data, so that files keep a useful size and are compressed.
     """
     union, *rest = [to_documents(df, name) for name, df in frames.items()]
     for part in rest:
         union = union.union(part)
     written = Observation("documents")
-    writer = union.observe(written, F.count(F.lit(1)).alias("n")).write
+    writer = union.observe(written, F.count(F.lit(1)).alias("n")).write.option("compression", "none" if batch_size else COMPRESSION)
     if batch_size:
         writer = writer.option("maxRecordsPerFile", batch_size)
     writer.mode("overwrite" if reload else "append").option(
