@@ -185,16 +185,24 @@ def load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders GROUP BY ALL"""
 )
 def drifted_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One vintage whose part files differ in columns and types: whole, fractional and text values, one column missing."""
+    """One vintage whose part files differ in columns and types: whole, fractional and text values, one column missing.
+
+    Whole values are as narrow as they fit, so that a part of small keys has a narrower type than one of large keys.
+    """
     folder = f"{scratch_path(spark, 'parts')}/2012-deaths.parquet"
     orders = table(spark, sf_dir, "orders")
-    shapes = {
-        "F": ("CAST(o_custkey AS INT) AS edadif", "CAST(o_custkey AS INT) AS sexo"),
-        "O": ("o_custkey AS edadif", "CAST(o_custkey AS SMALLINT) AS sexo", "o_orderpriority AS areag"),
-        "P": ("o_custkey + 0.5D AS edadif", "'x' || o_custkey AS sexo", "o_orderpriority AS areag"),
-    }
-    for status, cols in shapes.items():
-        part = orders.where(F.col("o_orderstatus") == status).selectExpr("o_orderstatus AS caudef", *cols)
+    first, other, last = "o_orderstatus <=> 'F'", "NOT (o_orderstatus <=> 'F' OR o_orderstatus <=> 'P')", "o_orderstatus <=> 'P'"
+    small, medium = "coalesce(o_custkey BETWEEN -32768 AND 32767, true)", "coalesce(o_custkey BETWEEN -2147483648 AND 2147483647, true)"
+    area = "o_orderpriority AS areag"
+    shapes = (
+        (f"{first} AND {medium}", "CAST(o_custkey AS INT) AS edadif", "CAST(o_custkey AS INT) AS sexo"),
+        (f"{first} AND NOT {medium}", "o_custkey AS edadif", "o_custkey AS sexo"),
+        (f"{other} AND {small}", "o_custkey AS edadif", "CAST(o_custkey AS SMALLINT) AS sexo", area),
+        (f"{other} AND NOT {small}", "o_custkey AS edadif", "o_custkey AS sexo", area),
+        (last, "o_custkey + 0.5D AS edadif", "'x' || o_custkey AS sexo", area),
+    )
+    for rows, *cols in shapes:
+        part = orders.where(rows).selectExpr("o_orderstatus AS caudef", *cols)
         part.write.mode("append").parquet(folder)
     return count_by(landing.read_vintage(spark, folder), "areag", "caudef", "edadif", "sexo")
 
