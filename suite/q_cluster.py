@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from suite.facts import deaths, deaths_sql, table
 from suite.registry import query, rounded
 from vitalframe.operators import clustering, kmeans_search, profile
-from vitalframe.operators.counts import count_by
 
 _NUMERIC, _CATEGORICAL = ("edadif", "diaocu"), ("sexo", "areag", "escodif")
 
@@ -77,13 +76,13 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inertia and squared-distance silhouette for k = 2..8 over all rows, best of ten starts."""
-    return clustering.sweep_k(_vectors(spark, sf_dir), parallelism=8)
+    return clustering.sweep_k(_vectors(spark, sf_dir))
 
 
 @query()
 def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The k of 2..8 with the highest silhouette over all rows, ten starts each."""
-    return clustering.best_k(clustering.sweep_k(_vectors(spark, sf_dir), parallelism=8))
+    return clustering.best_k(clustering.sweep_k(_vectors(spark, sf_dir)))
 
 
 @query()
@@ -91,9 +90,8 @@ def kmeans_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster sizes of the fit over all rows of the mixed death features, with the best k of 2..8."""
     scaled, features = _scaled(spark, sf_dir)
     vectors = clustering.to_vectors(scaled, features)
-    k = clustering.best_k(clustering.sweep_k(vectors, parallelism=8)).first()["k"]
-    placed, _ = clustering.assign_clusters(vectors, k, parallelism=8)
-    sizes = count_by(placed, "cluster")
+    k = clustering.best_k(clustering.sweep_k(vectors)).first()["k"]
+    sizes = clustering.cluster_sizes(vectors, clustering.fit_kmeans(vectors, k))
     total = sizes.agg(F.sum("n")).scalar()
     return sizes.withColumn("pct", F.col("n") / total * 100)
 
@@ -105,7 +103,7 @@ def kmeans_joint_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     The rows in its clusters, that its cost is not above that of the k before by more than a start's luck (1 %), and that its
     silhouette is one.
     """
-    _, best = kmeans_search.search(_vectors(spark, sf_dir))
+    best = kmeans_search.search_points(kmeans_search.pooled(_vectors(spark, sf_dir)))
     before = [best[0].cost, *[m.cost for m in best]]
     rows = [
         (m.k, 10, int(m.sizes.sum()), m.cost <= 1.01 * b, m.silhouette is None or -1 <= m.silhouette <= 1) for m, b in zip(best, before)
@@ -117,8 +115,9 @@ def kmeans_joint_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_joint_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster sizes of the chosen model of the search over the mixed death features; it is not fitted again."""
     scaled, features = _scaled(spark, sf_dir)
-    points, best = kmeans_search.search(clustering.to_vectors(scaled, features))
-    sizes = count_by(kmeans_search.assign(points, kmeans_search.chosen(best)), "cluster")
+    vectors = clustering.to_vectors(scaled, features)
+    best = kmeans_search.search_points(clustering.pooled(vectors))
+    sizes = clustering.cluster_sizes(vectors, kmeans_search.chosen(best))
     total = sizes.agg(F.sum("n")).scalar()
     return sizes.withColumn("pct", F.col("n") / total * 100)
 

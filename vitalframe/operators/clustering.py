@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from multiprocessing.pool import ThreadPool
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalframe.operators.counts import mean_by, melt, mode_by
+from vitalframe.operators import kmeans_search
+from vitalframe.operators.counts import mean_by, melt, mode_by, sum_counts
 from vitalframe.operators.sampling import sample_rows
 from vitalframe.sources.scratch import materialise
 
@@ -120,22 +120,28 @@ def to_vectors(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ())
     return df.select(*keep, array_to_vector(packed).alias("features"))
 
 
-def spread(vectors: DataFrame) -> DataFrame:
-    """Even partitions before many passes, as many as the shuffle width, and kept for those passes."""
-    return vectors.repartition(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))).persist()
+_pooled: WeakKeyDictionary[DataFrame, DataFrame] = WeakKeyDictionary()
+
+
+def pooled(vectors: DataFrame) -> DataFrame:
+    """The distinct vectors with their numbers, written once per frame however many fits ask for them."""
+    if vectors not in _pooled:
+        _pooled[vectors] = kmeans_search.pooled(vectors)
+    return _pooled[vectors]
 
 
 def fit_kmeans(
     vectors: DataFrame, k: int, n_init: int = 10, seed: int = 42, parallelism: int = 4
-) -> KMeansModel:
-    """Best of ``n_init`` seeded fits by training cost."""
-
-    def fit(s: int) -> KMeansModel:
-        return KMeans(k=k, seed=s, maxIter=100, tol=1e-4).fit(vectors)
+) -> kmeans_search.Model:
+    """Best of ``n_init`` seeded starts by cost, over all rows.
 
-    with ThreadPool(min(parallelism, n_init)) as pool:
-        models = pool.map(fit, range(seed, seed + n_init))
-    return min(models, key=lambda m: m.summary.trainingCost)
+    The starts move together, a pass over the distinct vectors a step, so there is nothing for ``parallelism`` to do;
+    callers may still pass it.
+    """
+    found = kmeans_search.search_points(pooled(vectors), [k], n_init, seed)
+    if not found:
+        raise ValueError("k-means needs at least one row")
+    return found[0]
 
 
 def sweep_k(
@@ -153,17 +159,8 @@ def sweep_k(
     clusters. ``sample_n`` fits and scores a random sample of that size instead.
     """
     rows = vectors if sample_n is None else sample_rows(vectors, sample_n, seed, key)
-    rows = spread(rows.select("features"))
-    found = []
-    for k in ks:
-        model = fit_kmeans(rows, k, n_init, seed, parallelism)
-        several = sum(n > 0 for n in model.summary.clusterSizes) > 1
-        score = squared_silhouette(model.transform(rows)) if several else None
-        found.append((k, float(model.summary.trainingCost), score))
-    rows.unpersist()
-    return vectors.sparkSession.createDataFrame(
-        found, "k int, inertia double, silhouette double"
-    )
+    best = [fit_kmeans(rows, k, n_init, seed, parallelism) for k in ks]
+    return kmeans_search.search_table(vectors.sparkSession, best)
 
 
 def _blob(values: np.ndarray) -> bytes:
@@ -312,18 +309,24 @@ def best_k(sweep: DataFrame) -> DataFrame:
 
 def assign_clusters(
     vectors: DataFrame, k: int, n_init: int = 10, seed: int = 42, parallelism: int = 4
-) -> tuple[DataFrame, KMeansModel]:
-    """Fit on all rows and add ``cluster``; clusters are numbered by falling size."""
-    vectors = spread(vectors)
-    model = fit_kmeans(vectors.select("features"), k, n_init, seed, parallelism)
-    sizes = model.summary.clusterSizes
-    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
-    rank = F.array(*[F.lit(order.index(i)) for i in range(len(sizes))])
-    placed = model.transform(vectors)
-    return (
-        placed.withColumn("cluster", F.get(rank, F.col("prediction"))).drop("prediction"),
-        model,
-    )
+) -> tuple[DataFrame, kmeans_search.Model]:
+    """Fit on all rows and add ``cluster``, the nearest centre; clusters are numbered by falling size."""
+    model = fit_kmeans(vectors, k, n_init, seed, parallelism)
+    x = vector_to_array("features") if dict(vectors.dtypes)["features"] == "vector" else F.col("features").cast("array<double>")
+
+    def square(centre: np.ndarray) -> Column:
+        here = F.array(*[F.lit(float(v)) for v in centre])
+        return F.aggregate(F.zip_with("_x", here, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, v: total + v)
+
+    squares = F.array(*[square(c) for c in model.centres[np.argsort(-model.sizes, kind="stable")]])
+    placed = vectors.withColumn("_x", x).withColumn("_squares", squares)
+    cluster = (F.array_position("_squares", F.array_min("_squares")) - 1).cast("int")
+    return placed.withColumn("cluster", cluster).drop("_x", "_squares"), model
+
+
+def cluster_sizes(vectors: DataFrame, model: kmeans_search.Model) -> DataFrame:
+    """``(cluster, n)`` over all rows, by placing the distinct vectors; clusters are numbered by falling size."""
+    return sum_counts(kmeans_search.assign(pooled(vectors), model), "cluster", n=kmeans_search.NUMBER).withColumnRenamed(kmeans_search.NUMBER, "n")
 
 
 def project_2d(vectors: DataFrame) -> tuple[DataFrame, list[float]]:

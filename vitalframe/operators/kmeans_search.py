@@ -3,6 +3,9 @@
 A pass sums, in each task and for every model, the points nearest to each centre; Spark adds the tasks' sums up, so the
 driver gets a number per model, centre and dimension, however many points and tasks there are. Models that have
 converged drop out. The costs, sizes and silhouettes of the final models take one pass each, for all models at once.
+
+Equal vectors move together, so the points may be the distinct vectors with their numbers (`pooled`): the same sums, sizes,
+costs and silhouettes, from passes that grow with the different vectors instead of the rows.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +23,12 @@ from pyspark.sql import functions as F
 from vitalframe.operators.sampling import sample_rows
 from vitalframe.sources.scratch import materialise
 
-#: Points that starting centres are drawn from, by k-means++; at most so many rows reach the driver.
+#: Points that starting centres are drawn from, by k-means++; about so many rows reach the driver.
 SEED_SAMPLE = 10_000
 #: Points that a task takes at a time.
 ROWS = 4096
+#: Column that says how many rows a point stands for; without it, one.
+NUMBER = "_rows"
 MAX_PASSES, TOLERANCE = 100, 1e-4
 
 
@@ -55,20 +61,22 @@ def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1)[None, :], 0.0)
 
 
-def _points(parts: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
+def _points(parts: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Vectors, and how many rows each stands for."""
     for part in parts:
         for lo in range(0, part.num_rows, ROWS):
             rows = part.column("x").slice(lo, ROWS)
-            yield rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), width)
+            x = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), width)
+            yield x, part.column(NUMBER).slice(lo, ROWS).to_numpy().astype(float) if NUMBER in part.schema.names else np.ones(len(rows))
 
 
-def _gathered(points: DataFrame, length: int, add: Callable[[np.ndarray, np.ndarray], None], width: int) -> np.ndarray:
+def _gathered(points: DataFrame, length: int, add: Callable[[np.ndarray, np.ndarray, np.ndarray], None], width: int) -> np.ndarray:
     """Sum over all tasks of a vector of numbers that ``add`` fills batch by batch."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(length)
-        for x in _points(parts, width):
-            add(total, x)
+        for x, number in _points(parts, width):
+            add(total, x, number)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["slot", "value"])
 
@@ -78,22 +86,22 @@ def _gathered(points: DataFrame, length: int, add: Callable[[np.ndarray, np.ndar
     return out
 
 
-def _assigned(models: Sequence[np.ndarray], width: int) -> Callable[[np.ndarray, np.ndarray], None]:
+def _assigned(models: Sequence[np.ndarray], width: int) -> Callable[[np.ndarray, np.ndarray, np.ndarray], None]:
     """Adds, model by model, the sums of each centre's points, their number, their squared norms, and the cost."""
 
-    def add(total: np.ndarray, x: np.ndarray) -> None:
+    def add(total: np.ndarray, x: np.ndarray, number: np.ndarray) -> None:
         at, norms = 0, (x**2).sum(1)
         for centres in models:
             k = len(centres)
             squares = _squares(x, centres)
             label = squares.argmin(1)
             member = np.zeros((len(x), k))
-            member[np.arange(len(x)), label] = 1.0
+            member[np.arange(len(x)), label] = number
             total[at : at + k * width] += (member.T @ x).reshape(-1)
             at += k * width
             total[at : at + k] += member.sum(0)
             total[at + k : at + 2 * k] += member.T @ norms
-            total[at + 2 * k] += squares[np.arange(len(x)), label].sum()
+            total[at + 2 * k] += (squares[np.arange(len(x)), label] * number).sum()
             at += 2 * k + 1
 
     return add
@@ -119,7 +127,7 @@ def _silhouettes(points: DataFrame, models: Sequence[Model], stats: Sequence[tup
     """
     scored = [(m.centres, sums, sizes, norms) for m, (sums, sizes, norms, _) in zip(models, stats)]
 
-    def add(total: np.ndarray, x: np.ndarray) -> None:
+    def add(total: np.ndarray, x: np.ndarray, number: np.ndarray) -> None:
         own_norm, here = (x**2).sum(1), np.arange(len(x))
         for i, (centres, sums, sizes, norms) in enumerate(scored):
             label = _squares(x, centres).argmin(1)
@@ -131,7 +139,7 @@ def _silhouettes(points: DataFrame, models: Sequence[Model], stats: Sequence[tup
             other = mean.min(1)
             most = np.maximum(mine, other)
             score = np.where((sizes[label] > 1) & (most > 0), (other - mine) / np.where(most > 0, most, 1), 0.0)
-            total[i] += score.sum() if (sizes > 0).sum() > 1 else 0.0
+            total[i] += (score * number).sum() if (sizes > 0).sum() > 1 else 0.0
 
     total = _gathered(points, len(models), add, width)
     return [float(total[i] / sizes.sum()) if (sizes > 0).sum() > 1 else None for i, (_, sizes, _, _) in enumerate(stats)]
@@ -164,21 +172,53 @@ def as_points(vectors: DataFrame, *keep: str) -> DataFrame:
     return materialise(vectors.select(*keep, x.alias("x")).repartition(n), "points")
 
 
+def pooled(vectors: DataFrame) -> DataFrame:
+    """Rows (x, _rows): the distinct vectors and how many rows have each, written once, in even parts, for all passes."""
+    n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = dict(vectors.dtypes)["features"]
+    x = vector_to_array("features") if kind == "vector" else F.col("features").cast("array<double>")
+    return materialise(vectors.groupBy(x.alias("x")).agg(F.count("*").alias(NUMBER)).repartition(n), "points")
+
+
+def _seeds(points: DataFrame, n: int, seed: int) -> np.ndarray:
+    """Vectors that starting centres are drawn from, sorted: about n rows at random, all if there are fewer."""
+    if NUMBER not in points.columns:
+        return np.array(sorted(sample_rows(points.select("x"), n, seed, []).toArrow().column("x").to_pylist()), float)
+    total = points.agg(F.sum(NUMBER)).first()[0] or 0
+    share = min(1.0, n / total) if total else 1.0
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        for part in parts:
+            drawn = rng.binomial(part.column(NUMBER).to_numpy(), share)
+            kept = part.set_column(part.schema.get_field_index(NUMBER), NUMBER, pa.array(drawn))
+            yield kept.filter(pa.array(drawn > 0))
+
+    rows = sorted((r["x"], r[NUMBER]) for r in points.mapInArrow(run, points.schema).toArrow().to_pylist())
+    return np.repeat(np.array([x for x, _ in rows], float), [c for _, c in rows], axis=0) if rows else np.array([])
+
+
 def search(
     vectors: DataFrame, ks: Sequence[int] = range(2, 9), n_init: int = 10, seed: int = 42, seed_sample: int = SEED_SAMPLE, keep: Sequence[str] = ()
 ) -> tuple[DataFrame, list[Model]]:
-    """The points and, for each k, the best by cost of ``n_init`` starts, all trained together over all rows.
+    """The points, a row per vector, and what `search_points` finds on them."""
+    points = as_points(vectors, *keep)
+    return points, search_points(points, ks, n_init, seed, seed_sample)
+
+
+def search_points(
+    points: DataFrame, ks: Sequence[int] = range(2, 9), n_init: int = 10, seed: int = 42, seed_sample: int = SEED_SAMPLE
+) -> list[Model]:
+    """For each k, the best by cost of ``n_init`` starts, all trained together over all points.
 
     Only the starting centres come from a sample, of ``seed_sample`` rows. An empty table gives no model.
     """
-    points = as_points(vectors, *keep)
-    rows = sample_rows(points.select("x"), seed_sample, seed, []).toArrow().column("x").to_pylist()
-    if not rows:
-        return points, []
-    seeds = np.array(sorted(rows), float)
+    seeds = _seeds(points, seed_sample, seed)
+    if not len(seeds):
+        return []
     width = seeds.shape[1]
     models = [Model(k, s, plus_plus(seeds, k, np.random.default_rng([seed, k, s]))) for k in ks for s in range(n_init)]
-    slim = points.select("x")
+    slim = points.select("x", *[c for c in points.columns if c == NUMBER])
     train(slim, width, models)
     for m, (_, sizes, _, cost) in zip(models, _statistics(slim, [m.centres for m in models], width)):
         m.sizes, m.cost = sizes, cost
@@ -186,7 +226,7 @@ def search(
     stats = _statistics(slim, [m.centres for m in best], width)
     for m, score in zip(best, _silhouettes(slim, best, stats, width)):
         m.silhouette = score
-    return points, best
+    return best
 
 
 def search_table(spark, best: Sequence[Model]) -> DataFrame:
@@ -207,7 +247,7 @@ def assign(points: DataFrame, model: Model) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            label = [_squares(x, centres).argmin(1) for x in _points(iter([part]), centres.shape[1])]
+            label = [_squares(x, centres).argmin(1) for x, _ in _points(iter([part]), centres.shape[1])]
             column = pa.array(np.concatenate(label).astype(np.int32)) if label else pa.array([], pa.int32())
             yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, "cluster"])
 
