@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from suite.facts import _case, table
+from vitalframe.sources.landing import in_parallel
 from vitalframe.sources.scratch import scratch_path
 
 YEAR = "year(o_orderdate) + 17"
@@ -69,16 +70,21 @@ def _orders(spark: SparkSession, sf_dir: str, years: tuple[int, ...]) -> DataFra
     inside = (F.col("o_orderdate") >= F.lit(f"{first}-01-01").cast("timestamp_ntz")) & (
         F.col("o_orderdate") < F.lit(f"{last + 1}-01-01").cast("timestamp_ntz")
     )
-    return (
-        orders.where(inside)
-        .join(customer, orders["o_custkey"] == customer["c_custkey"])
-        .join(nation, customer["c_nationkey"] == nation["n_nationkey"])
-    )
+    return _people(orders.where(inside), customer, nation)
+
+
+def _people(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Orders with their customer and nation. Customers grow with the orders, so they are shuffled, never broadcast."""
+    joined = orders.join(customer.hint("merge"), orders["o_custkey"] == customer["c_custkey"])
+    return joined.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
 
 
 def raw_deaths(spark: SparkSession, sf_dir: str, years: tuple[int, ...], *extra: str) -> DataFrame:
     """Raw deaths of one generation, as they would land."""
-    joined = _orders(spark, sf_dir, years)
+    return _raw(_orders(spark, sf_dir, years), years, *extra)
+
+
+def _raw(joined: DataFrame, years: tuple[int, ...], *extra: str) -> DataFrame:
     if years[0] <= FIRST:
         cols = [
             f"{_case('o_orderstatus', _SEX_OLD)} AS SEXO",
@@ -122,6 +128,7 @@ def file_labels(spark: SparkSession, sf_dir: str) -> dict:
     return {**deaths, "births.parquet": {"sexo": {1: "Masculino", 2: "Femenino"}}}
 
 
+_LANDED = ("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "c_mktsegment", "c_nationkey", "n_name")
 _landed: dict[tuple[str, str], str] = {}
 
 
@@ -132,31 +139,44 @@ def landing_folder(spark: SparkSession, sf_dir: str) -> str:
         return _landed[key]
     folder = scratch_path(spark, "landing")
     years = landed_years(spark, sf_dir)
-    for y in years:
-        raw_deaths(spark, sf_dir, (y,)).write.parquet(f"{folder}/{y}-deaths.parquet")
-    if 2012 in years:
-        raw_deaths(spark, sf_dir, (2012,)).write.parquet(f"{folder}/2012-deaths (1).parquet")
-    table(spark, sf_dir, "lineitem").selectExpr(
+    # One join for all years, and a folder for each, so that a year's vintage reads its own rows only.
+    joined = scratch_path(spark, "landed")
+    if years:
+        people = _orders(spark, sf_dir, tuple(years)).select(*_LANDED, F.expr(f"{YEAR} AS landed_year"))
+        people.write.partitionBy("landed_year").parquet(joined)
+
+    def dated(y: int) -> DataFrame:
+        return _raw(spark.read.parquet(joined).where(F.col("landed_year") == y), (y,))
+
+    births = table(spark, sf_dir, "lineitem").selectExpr(
         "floor(l_quantity / 5) AS libras",
         "l_tax * 100 AS onzas",
         "CASE l_linestatus WHEN 'F' THEN 2.0D ELSE 1.0D END AS sexo",
         "l_returnflag AS tipar",
         "2019.0D AS anioreg",
-    ).write.parquet(f"{folder}/births.parquet")
-    table(spark, sf_dir, "customer").selectExpr(
+    )
+    marriages = table(spark, sf_dir, "customer").selectExpr(
         "c_mktsegment AS clauni", "20.0D + c_nationkey AS edadhom", "21.0D + c_nationkey AS edadmuj"
-    ).write.parquet(f"{folder}/2020-marriages.parquet")
-    table(spark, sf_dir, "supplier").selectExpr(
+    )
+    divorces = table(spark, sf_dir, "supplier").selectExpr(
         "30 + s_nationkey AS edadhom", "31 + s_nationkey AS edadmuj",
         "'docente' AS ocuhom", "'docente' AS ocumuj",
-    ).write.option("header", True).csv(f"{folder}/2021-divorces.csv")
-    table(spark, sf_dir, "part").selectExpr(
+    )
+    fetal = table(spark, sf_dir, "part").selectExpr(
         "p_size AS semges", "'p95x' AS caudef", "lower(p_type) AS tipar", "p_size + 10 AS edadm"
-    ).write.json(f"{folder}/2020-fetal.json")
-    table(spark, sf_dir, "nation").selectExpr("n_name AS a", "n_regionkey AS b").write.parquet(
-        f"{folder}/2021-unknown.parquet"
     )
-    table(spark, sf_dir, "region").selectExpr("r_name").write.text(f"{folder}/2021-bad.parquet")
+    unknown = table(spark, sf_dir, "nation").selectExpr("n_name AS a", "n_regionkey AS b")
+    writes = [
+        lambda: births.write.parquet(f"{folder}/births.parquet"),
+        *[lambda y=y: dated(y).write.parquet(f"{folder}/{y}-deaths.parquet") for y in years],
+        *[lambda: dated(2012).write.parquet(f"{folder}/2012-deaths (1).parquet")] * (2012 in years),
+        lambda: marriages.write.parquet(f"{folder}/2020-marriages.parquet"),
+        lambda: divorces.write.option("header", True).csv(f"{folder}/2021-divorces.csv"),
+        lambda: fetal.write.json(f"{folder}/2020-fetal.json"),
+        lambda: unknown.write.parquet(f"{folder}/2021-unknown.parquet"),
+        lambda: table(spark, sf_dir, "region").selectExpr("r_name").write.text(f"{folder}/2021-bad.parquet"),
+    ]
+    in_parallel(lambda write: write(), writes)
     _landed[key] = folder
     return folder
 
