@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalframe.llm.spread import components
+from vitalframe.llm.spread import components, width
+from vitalframe.llm.text import released
 from vitalframe.sources.scratch import materialise
 
 TREES = 12
@@ -33,6 +34,10 @@ SPILL = 0.12
 TIGHT = 0.7
 #: Vectors of a leaf that one block holds.
 BLOCK = 2048
+#: Leaves whose members are marked at a time to tell which pairs have met before.
+MARKED = 256
+#: Rows of vectors that a comparing task gets, about.
+TASK_ROWS = 20_000
 
 
 class Forest:
@@ -130,16 +135,26 @@ def _comparing(least: float):
             np.fill_diagonal(linked, False)
         counted = linked.copy()
         if linked.any():
+            p, q = np.flatnonzero(linked.any(1)), np.flatnonzero(linked.any(0))
+            links = np.zeros(len(ids), bool)
+            links[a[p]] = links[b[q]] = True
             lists = table.column("leaves").combine_chunks()
             owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
             other = lists.flatten().to_numpy()
-            owner, other = owner[other < leaf], other[other < leaf]
-            kinds, at, n = np.unique(other, return_inverse=True, return_counts=True)
+            earlier = links[owner] & (other < leaf)
+            owner, other = owner[earlier], other[earlier]
+            _, at, n = np.unique(other, return_inverse=True, return_counts=True)
             shared = n[at] > 1
-            kinds, at = np.unique(other[shared], return_inverse=True)
-            met = np.zeros((len(lists), len(kinds)), np.float32)
-            met[owner[shared], at] = 1
-            counted &= met[a] @ met[b].T == 0
+            owner, other = owner[shared], other[shared]
+            order = np.argsort(other, kind="stable")
+            owner, (kinds, at) = owner[order], np.unique(other[order], return_inverse=True)
+            apart = np.ones((len(p), len(q)), bool)
+            for lo in range(0, len(kinds), MARKED):
+                here = slice(*np.searchsorted(at, [lo, lo + MARKED]))
+                met = np.zeros((len(ids), MARKED), np.float32)
+                met[owner[here], at[here] - lo] = 1
+                apart &= met[a[p]] @ met[b[q]].T == 0
+            counted[np.ix_(p, q)] &= apart
         degree = np.zeros(len(ids), np.int64)
         degree[a] += counted @ copies[b]
         if low != high:
@@ -175,7 +190,7 @@ def near_vectors(
     """
     spark = vectors.sparkSession
     slim = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    parsed = slim.mapInArrow(_parsing, "vec_id long, unit binary").withColumn("unit", F.when(F.col("vec_id").isNotNull(), F.col("unit")))
+    parsed = slim.mapInArrow(released(_parsing), "vec_id long, unit binary").withColumn("unit", F.when(F.col("vec_id").isNotNull(), F.col("unit")))
     classes = parsed.where("unit IS NOT NULL").groupBy("unit").agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("copies"))
     classes = materialise(classes, "vectors")
     known = materialise(
@@ -188,15 +203,24 @@ def near_vectors(
         first = here.orderBy(F.md5(F.col("rep").cast("string")), "rep").limit(sample).select("unit").toArrow()  # bounded by `sample`
         forest = Forest(_unit(first.column("unit").combine_chunks()), trees, leaf)
         shared = spark.sparkContext.broadcast(forest)
-        routed = here.mapInArrow(_routing(shared), "unit binary, rep long, copies long, leaves array<int>")
+        routed = here.mapInArrow(released(_routing(shared)), "unit binary, rep long, copies long, leaves array<int>")
         routed = materialise(routed, "routed")
-        blocks = routed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        rows = routed.select("*", F.explode("leaves").alias("leaf")).join(blocks, "leaf")
+        blocks = routed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.count("*").alias("n"))
+        blocks = materialise(blocks, "blocks")
+        rows = routed.select("unit", "rep", "copies", F.posexplode("leaves").alias("before", "leaf"), "leaves").join(blocks.drop("n"), "leaf")
+        # Only the leaves before this one tell where a pair has met; they ascend.
+        rows = rows.withColumn("leaves", F.slice("leaves", F.lit(1), F.col("before"))).drop("before")
         rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
         rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        rows = rows.withColumns({"low": F.least("block", "with"), "high": F.greatest("block", "with")}).drop("with", "blocks")
+        rows = rows.withColumns({"low": F.least("block", "with"), "high": F.greatest("block", "with")}).drop("with")
+        sent = blocks.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0]
+        parts = max(width(spark), -(-sent // TASK_ROWS))
+        # Neighbouring leaves share vectors, which take little room in one place; leaves of several blocks are spread.
+        near = F.floor(F.col("leaf") * F.lit(float(parts)) / forest.leaves)
+        rows = rows.withColumn("place", F.when(F.col("blocks") > 1, F.xxhash64("leaf", "low", "high")).otherwise(near)).drop("blocks")
+        rows = rows.repartition(parts, "place")
         found = materialise(
-            rows.groupBy("leaf", "low", "high").applyInArrow(_comparing(least), "rep long, degree long, root long"), "found"
+            rows.groupBy("place", "leaf", "low", "high").applyInArrow(_comparing(least), "rep long, degree long, root long"), "found"
         )
         degrees = found if degrees is None else degrees.union(found)
     if degrees is None:
