@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalframe.llm.spread import arrow_rows, components, width
+from vitalframe.llm.spread import among, arrow_rows, components, width
 from vitalframe.llm.text import LOWER, SPACED, mixed, released, slabs
 from vitalframe.sources.scratch import materialise
 
@@ -407,9 +407,9 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
         return pairs.mapInArrow(released(_bounding(percent)), "a long, b long").distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
-        # Texts meet pairs by shuffle at every size: how many documents have candidates isn't bounded.
+        # Texts meet pairs by shuffle at every size: how many documents have candidates isn't bounded. Most other texts stay behind.
         involved = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-        texts = materialise(slim.join(involved.hint("merge"), F.col("doc_id") == F.col("doc")).select("doc", "text"), "texts")
+        texts = materialise(among(slim, "doc_id", involved).join(involved.hint("merge"), F.col("doc_id") == F.col("doc")).select("doc", "text"), "texts")
         with_b = pairs.hint("merge").join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
         with_a = with_b.hint("merge").join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
         return with_a.select("a", "b", "text_a", "text_b").mapInArrow(released(_verifying(k, percent)), "a long, b long").distinct()

@@ -83,6 +83,26 @@ def join_counted(left: DataFrame, right: DataFrame, key: str, n: str) -> DataFra
     return by_broadcast.unionByName(rest.join(cold, key))
 
 
+#: Bits that tell which keys are wanted, 1 MB of them, in pieces as large as Spark's bitmaps.
+WANTED_BITS, PIECE_BITS = 1 << 23, 1 << 15
+
+
+def among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be in ``wanted``, which has one column: all that are, and few others; no shuffle of ``df``.
+
+    The wanted keys are bits of a map of fixed size, which is broadcast in pieces. With more keys than it has bits for,
+    more other rows pass, so an exact join should follow.
+    """
+    slot = F.pmod(F.xxhash64(F.col(key)), F.lit(WANTED_BITS))
+    marks = wanted.select(F.col(wanted.columns[0]).cast(df.schema[key].dataType).alias(key)).select(slot.alias("_slot"))
+    piece, bit = F.floor(F.col("_slot") / PIECE_BITS), F.col("_slot") % PIECE_BITS
+    pieces = marks.select(piece.alias("_piece"), bit.alias("_bit")).groupBy("_piece").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    held = df.withColumn("_slot", slot).withColumns({"_at": piece, "_bit": bit})
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    shown = F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1
+    return held.join(F.broadcast(pieces), F.col("_at") == F.col("_piece")).where(shown).select(*df.columns)
+
+
 def dealt(bucket: np.ndarray, records: np.ndarray) -> pa.RecordBatch | None:
     """One row per bucket: the bucket and its fixed-width records, packed, in their given order."""
     if not len(bucket):
