@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.sources.scratch import materialise
-from vitalframe.llm.text import ALNUM, LOWER, slabs
+from vitalframe.llm.text import ALNUM, LOWER, released, slabs
 
 WINDOW = 10
 #: UTF-8 bytes of benchmark text behind one broadcast; its hash set is at most a few times that.
@@ -168,5 +168,8 @@ def find_leaks(
         shared = spark.sparkContext.broadcast(TestWindows([r.id for r in rows], [r.text for r in rows], k))
         if block:
             found = materialise(found, "leaks")  # so that one block's windows are in memory at a time
-        found = found.mapInArrow(_scanning(shared, k), _FOUND)
-    return found.mapInArrow(_cleaning, RESULT)
+        scanning = _scanning(shared, k)
+        if block < blocks - 1:
+            found = found.mapInArrow(released(scanning), _FOUND)
+    # One Python step for the last block and the cuts: two in a row would take two workers a core, and send the texts twice.
+    return found.mapInArrow(released(lambda parts: _cleaning(scanning(parts))), RESULT)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalframe.llm.spread import among, arrow_rows, components, width
+from vitalframe.llm.spread import among, arrow_rows, components, few, width
 from vitalframe.llm.text import LOWER, SPACED, mixed, released, slabs
 from vitalframe.sources.scratch import materialise
 
@@ -387,16 +387,16 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
     prints = ["n_shingles", "print1", "print2"]
     classes = profile.where("n_shingles > 0").groupBy(*prints).agg(F.min("doc_id").alias("_rep"))
     known = profile.join(classes, prints, "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_rep", "doc_id")).alias("rep"))
-    known = materialise(known, "classes")
+    known = materialise(few(known), "classes")
 
     signed = slim.where("doc_id IS NOT NULL").mapInArrow(released(_signing(k, percent, bits)), "bucket long, blob binary")
     groups = signed.groupBy("bucket").applyInArrow(_grouping, "grp long, doc long")
     reps = known.where("n_shingles > 0").select(F.col("doc_id").alias("doc"), "rep", F.col("n_shingles").alias("n")).distinct()
-    members = materialise(groups.join(reps, "doc").select("grp", F.col("rep").alias("doc"), "n").distinct(), "groups")
+    members = materialise(few(groups.join(reps, "doc").select("grp", F.col("rep").alias("doc"), "n").distinct()), "groups")
     firsts = members.groupBy("grp").agg(F.min("doc").alias("first"), F.min_by("n", "doc").alias("first_n"), F.count("*").alias("size")).where("size > 1")
     fits = 100 * F.least("n", "first_n") >= percent * F.greatest("n", "first_n")
     star = members.join(firsts, "grp").where((F.col("doc") != F.col("first")) & fits).select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct()
-    star = materialise(star, "pairs")
+    star = materialise(few(star), "pairs")
 
     sketch = profile.where("n_shingles > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "marks")
 
@@ -414,20 +414,20 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
         with_a = with_b.hint("merge").join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
         return with_a.select("a", "b", "text_a", "text_b").mapInArrow(released(_verifying(k, percent)), "a long, b long").distinct()
 
-    star = materialise(plausible(star), "pairs")
+    star = materialise(few(plausible(star)), "pairs")
 
     # Two texts under one id are one node: their classes are linked.
     several = known.where("n_shingles > 0").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
     same = known.where("n_shingles > 0").join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a <> b")
     # Each member meets its smallest partner first; of the other pairs, those that are then connected need no texts.
-    near = materialise(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-    links = materialise(verified(near).union(same), "links")
-    found = materialise(components(links), "components")
+    near = materialise(few(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")), "pairs")
+    links = materialise(few(verified(near).union(same)), "links")
+    found = components(links)
     of_a, of_b = (found.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
     apart = star.join(near, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
-    apart = materialise(apart.where("NOT coalesce(ca, a) <=> coalesce(cb, b)").select("a", "b"), "pairs")
+    apart = materialise(few(apart.where("NOT coalesce(ca, a) <=> coalesce(cb, b)").select("a", "b")), "pairs")
     if apart.limit(1).count():
-        links = links.union(materialise(verified(apart), "links"))
+        links = links.union(materialise(few(verified(apart)), "links"))
         found = components(links)
 
     # Groups that still hold several components: each member outside the largest meets its nearest few; where it has more, then more, at last all.
@@ -438,7 +438,7 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
         mixed_groups = rest.groupBy("grp").agg(
             F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")
         ).where("size > 2 AND c0 <> c1").select("grp", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-        rest = materialise(rest.distinct().join(mixed_groups, "grp"), "rest")
+        rest = materialise(few(rest.distinct().join(mixed_groups, "grp")), "rest")
         if not rest.limit(1).count():
             break
         first = rest.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list("grp")), 1, CARRIED).alias("groups"))
@@ -448,11 +448,11 @@ def _near_copies(docs: DataFrame, k: int, percent: int, id_col: str, text_col: s
         blocks = rows.select("grp", "low", "high", "block", "doc", "component", "n", "marks", "groups").groupBy("grp", "low", "high")
         pairs = materialise(blocks.applyInArrow(_comparing(percent, keep), "grp long, a long, b long, cut boolean"), "pairs")
         active = pairs.where("cut").select("grp").distinct()
-        fresh = materialise(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        fresh = materialise(few(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")), "pairs")
         if fresh.limit(1).count():
-            links = links.union(materialise(verified(fresh), "links"))
+            links = links.union(materialise(few(verified(fresh)), "links"))
             tried = tried.union(fresh)
-            found = materialise(components(links), "components")
+            found = components(links)
     return known.join(found, known.rep == found.node, "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
     )

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalframe.llm.spread import running, shuffled
+from vitalframe.llm.spread import listed, running, shuffled
 
 SHARDS = 8
 #: Blocks per old shard.
@@ -143,9 +143,9 @@ def reshard(docs: DataFrame, size: Column, group: Column, old: Column, tie: str
     room = [c + short // shards + 1 for c in room] if short else room
     flow = min_cost_flow(supply, room, 1.0 - np.eye(n_old, shards))
     handed = _hand_over(blocks, flow)
-    light_plan = spark.createDataFrame([(i, b, j) for (i, b), j in handed.items()], "p_old int, p_block string, p_shard int")
-    heavy_plan = spark.createDataFrame(
-        [(i, u, whole.get((i, u))) for i, u in [*whole, *split]], "h_old int, h_unit long, h_shard int"
+    light_plan = listed(spark, [(i, b, j) for (i, b), j in handed.items()], "p_old int, p_block string, p_shard int")
+    heavy_plan = listed(
+        spark, [(i, u, whole.get((i, u))) for i, u in [*whole, *split]], "h_old int, h_unit long, h_shard int"
     )
     # Both plans are bounded by the number of shards, so broadcasting them is safe.
     placed = base.join(F.broadcast(heavy_plan), (F.col("old_shard") == F.col("h_old")) & (F.col("_unit") == F.col("h_unit")), "left")
@@ -154,7 +154,8 @@ def reshard(docs: DataFrame, size: Column, group: Column, old: Column, tie: str
     columns = [*docs.columns, "old_shard", "shard"]
     keyed = placed.withColumn("_key", shuffled(F.col(tie), F.col("_unit")))
     if split:
-        pieces = spark.createDataFrame(
+        pieces = listed(
+            spark,
             [
                 (i, u, int(hi - n), int(hi), j)
                 for (i, u), parts in split.items()

@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from vitalframe.sources.scratch import materialise
 
@@ -36,6 +38,30 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Shuffle partitions whose rows of ids one file takes.
+FILE_PARTITIONS = 16
+
+
+def few(df: DataFrame) -> DataFrame:
+    """Rows of ids, a hundredth of the texts that the shuffle width is set for, in fewer partitions; no fewer than there are cores.
+
+    Written as they are, they would make a file a partition in every round. On a local folder each file costs three
+    processes (`chmod`), and while one starts, the executor's memory counts twice.
+    """
+    spark = df.sparkSession
+    return df.coalesce(max(spark.sparkContext.defaultParallelism, width(spark) // FILE_PARTITIONS))
+
+
+def listed(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Few rows of the driver as a table that Spark's plan holds itself.
+
+    A plain list would be read by Python workers of a kind of its own, which stay in memory beside those of the Arrow steps.
+    """
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+    columns = list(zip(*rows)) if rows else [()] * len(kinds)
+    return spark.createDataFrame(pa.table([list(c) for c in columns], schema=kinds))
+
+
 def shuffled(*parts: Column) -> Column:
     """A reproducible random order: the MD5 digest of the parts, in hexadecimal; the key that `running` takes."""
     return F.md5(F.concat_ws("\x1f", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
@@ -129,14 +155,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     log n rounds. Each round is written to the shared scratch folder; nothing is gathered on the driver.
     """
     pairs = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
-    both = materialise(pairs.union(pairs.select("y", "x")).distinct(), "edges")
-    labels = materialise(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("label")), "labels")
+    both = materialise(few(pairs.union(pairs.select("y", "x")).distinct()), "edges")
+    labels = materialise(few(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("label"))), "labels")
     while True:
         near = both.join(labels, both.y == labels.node).groupBy(F.col("x").alias("node")).agg(F.min("label").alias("near"))
         met = labels.join(near, "node").select("node", F.least("label", "near").alias("met"), F.col("label").alias("old"))
         jump = labels.select(F.col("node").alias("met"), F.col("label").alias("jump"))
         after = materialise(
-            met.join(jump, "met", "left").select("node", F.least("met", F.coalesce("jump", "met")).alias("label"), "old"), "labels"
+            few(met.join(jump, "met", "left").select("node", F.least("met", F.coalesce("jump", "met")).alias("label"), "old")), "labels"
         )
         changed = after.where("label <> old").limit(1).count()
         labels = after.select("node", "label")

@@ -158,9 +158,9 @@ def score_toxicity(
     usable = usable.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("toxic"), F.max(fit).alias("_fit"))
     sizes = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     order = F.md5(F.col("_id").cast("string"))
-    chosen = [r for k in (0, 1) for r in usable.where(F.col("toxic") == k).orderBy(order, "_id").limit(sample).collect()]
+    chosen = [usable.where(F.col("toxic") == k).orderBy(order, "_id").limit(sample).toArrow() for k in (0, 1)]
     weights = {k: sizes.get(k, 0) / max(1, min(sizes.get(k, 0), sample)) for k in (0, 1)}
-    picked = spark.createDataFrame([tuple(r) for r in chosen], usable.schema)
+    picked = spark.createDataFrame(pa.concat_tables(chosen))  # from Arrow: a list would take Python workers of its own
     # At most 2 x sample ids: a broadcast of bounded size.
     learn = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(picked), "_id")
     learn = learn.dropDuplicates(["text", "toxic", "_fit"]).select("text", "toxic", "_fit")
@@ -171,7 +171,7 @@ def score_toxicity(
             x = pa.array(models.per_word(part.column("text")))
             yield pa.RecordBatch.from_arrays([x, part.column("toxic")], ["x", "toxic"])
 
-    rated = learn.where("NOT _fit").select("text", "toxic").mapInArrow(rating, "x double, toxic int").toArrow()
+    rated = learn.where("NOT _fit").select("text", "toxic").mapInArrow(released(rating), "x double, toxic int").toArrow()
     y = rated.column("toxic").to_numpy()
     slope, offset = calibration(rated.column("x").to_numpy(), y, np.where(y == 1, weights[1], weights[0]))
     shared = spark.sparkContext.broadcast((models, slope, offset))
