@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 from weakref import WeakKeyDictionary
 
 import numpy as np
@@ -130,18 +131,34 @@ def pooled(vectors: DataFrame) -> DataFrame:
     return _pooled[vectors]
 
 
+@dataclass
+class _Sweep:
+    """Fits that a sweep is about to ask for: its ks, and by starts and seed the models of all of them."""
+
+    ks: list[int]
+    found: dict[tuple[int, int], dict[int, kmeans_search.Model]] = field(default_factory=dict)
+
+
+_sweeps: WeakKeyDictionary[DataFrame, _Sweep] = WeakKeyDictionary()
+
+
 def fit_kmeans(
     vectors: DataFrame, k: int, n_init: int = 10, seed: int = 42, parallelism: int = 4
 ) -> kmeans_search.Model:
     """Best of ``n_init`` seeded starts by cost, over all rows.
 
     The starts move together, a pass over the distinct vectors a step, so there is nothing for ``parallelism`` to do;
-    callers may still pass it.
+    callers may still pass it. Within a sweep the first fit moves the starts of all its ks in the same passes, and the
+    others find theirs done; no start depends on another, so each model is the one that a fit of its own gives.
     """
-    found = kmeans_search.search_points(pooled(vectors), [k], n_init, seed)
-    if not found:
+    sweep = _sweeps.get(vectors)
+    if sweep is None or k not in sweep.ks:
+        sweep = _Sweep([k])
+    if (n_init, seed) not in sweep.found:
+        sweep.found[n_init, seed] = {m.k: m for m in kmeans_search.search_points(pooled(vectors), sweep.ks, n_init, seed)}
+    if k not in sweep.found[n_init, seed]:
         raise ValueError("k-means needs at least one row")
-    return found[0]
+    return sweep.found[n_init, seed][k]
 
 
 def sweep_k(
@@ -153,13 +170,17 @@ def sweep_k(
     parallelism: int = 4,
     sample_n: int | None = None,
 ) -> DataFrame:
-    """``(k, inertia, silhouette)`` of the best fit of each k, over all rows.
+    """``(k, inertia, silhouette)`` of the best fit of each k, over all rows; the fits share their passes.
 
     The silhouette is of squared distances, linear in the rows, and NULL when a fit leaves fewer than two
     clusters. ``sample_n`` fits and scores a random sample of that size instead.
     """
     rows = vectors if sample_n is None else sample_rows(vectors, sample_n, seed, key)
-    best = [fit_kmeans(rows, k, n_init, seed, parallelism) for k in ks]
+    _sweeps[rows] = _Sweep(list(dict.fromkeys(ks)))
+    try:
+        best = [fit_kmeans(rows, k, n_init, seed, parallelism) for k in ks]
+    finally:
+        _sweeps.pop(rows, None)
     return kmeans_search.search_table(vectors.sparkSession, best)
 
 
