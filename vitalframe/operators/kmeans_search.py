@@ -27,6 +27,8 @@ from vitalframe.sources.scratch import materialise
 SEED_SAMPLE = 10_000
 #: Points that a task takes at a time.
 ROWS = 4096
+#: Centres that are compared with them at a time.
+CENTRES = 512
 #: Column that says how many rows a point stands for; without it, one.
 NUMBER = "_rows"
 MAX_PASSES, TOLERANCE = 100, 1e-4
@@ -86,37 +88,67 @@ def _gathered(points: DataFrame, length: int, add: Callable[[np.ndarray, np.ndar
     return out
 
 
+def _bunches(models: Sequence[np.ndarray]) -> list[tuple[np.ndarray, list[tuple[int, int]]]]:
+    """Models of up to ``CENTRES`` centres together, or a larger one alone: their centres stacked, and each model's rows of these."""
+    bunches: list[list[np.ndarray]] = []
+    for centres in models:
+        if not bunches or sum(map(len, bunches[-1])) + len(centres) > CENTRES:
+            bunches.append([])
+        bunches[-1].append(centres)
+    out = []
+    for bunch in bunches:
+        ends = np.cumsum([0, *map(len, bunch)]).tolist()
+        out.append((np.concatenate(bunch), list(zip(ends, ends[1:]))))
+    return out
+
+
+def _nearest(x: np.ndarray, norms: np.ndarray, stacked: np.ndarray, limits: Sequence[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Model by model of a bunch, each point's nearest centre, the first on ties, and its squared distance.
+
+    One product of matrices serves the whole bunch.
+    """
+    squares = stacked @ x.T
+    squares *= -2
+    squares += norms
+    squares += (stacked**2).sum(1)[:, None]
+    np.maximum(squares, 0.0, out=squares)
+    for lo, hi in limits:
+        label, least = np.zeros(len(x), np.intp), squares[lo].copy()
+        for j in range(1, hi - lo):
+            np.copyto(label, j, where=squares[lo + j] < least)
+            np.minimum(least, squares[lo + j], out=least)
+        yield squares[lo:hi].argmin(0) if np.isnan(least).any() else label, least
+
+
 def _assigned(models: Sequence[np.ndarray], width: int) -> Callable[[np.ndarray, np.ndarray, np.ndarray], None]:
-    """Adds, model by model, the sums of each centre's points, their number, their squared norms, and the cost."""
+    """Adds, for the centres of all models, the sums of their points, their squared norms and number; then the models' costs."""
+    bunches = _bunches(models)
 
     def add(total: np.ndarray, x: np.ndarray, number: np.ndarray) -> None:
-        at, norms = 0, (x**2).sum(1)
-        for centres in models:
-            k = len(centres)
-            squares = _squares(x, centres)
-            label = squares.argmin(1)
-            member = np.zeros((len(x), k))
-            member[np.arange(len(x)), label] = number
-            total[at : at + k * width] += (member.T @ x).reshape(-1)
-            at += k * width
-            total[at : at + k] += member.sum(0)
-            total[at + k : at + 2 * k] += member.T @ norms
-            total[at + 2 * k] += (squares[np.arange(len(x)), label] * number).sum()
-            at += 2 * k + 1
+        norms, here, at = (x**2).sum(1), np.arange(len(x)), 0
+        moments, costs = np.column_stack([x, norms, np.ones(len(x))]), []
+        for stacked, limits in bunches:
+            member = np.zeros((len(stacked), len(x)))
+            for (lo, _), (label, least) in zip(limits, _nearest(x, norms, stacked, limits)):
+                member[lo + label, here] = number
+                costs.append(least @ number)
+            size = len(stacked) * (width + 2)
+            total[at : at + size] += (member @ moments).reshape(-1)
+            at += size
+        total[at:] += costs
 
     return add
 
 
 def _statistics(points: DataFrame, models: Sequence[np.ndarray], width: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
     """Per model: the centres' sums, sizes and squared norms, and the cost."""
-    length = sum(len(c) * (width + 2) + 1 for c in models)
-    total, out, at = _gathered(points, length, _assigned(models, width), width), [], 0
-    for centres in models:
-        k = len(centres)
-        sums = total[at : at + k * width].reshape(k, width)
-        at += k * width
-        out.append((sums, total[at : at + k], total[at + k : at + 2 * k], float(total[at + 2 * k])))
-        at += 2 * k + 1
+    n = sum(map(len, models))
+    total, out, at = _gathered(points, n * (width + 2) + len(models), _assigned(models, width), width), [], 0
+    moments, costs = total[: n * (width + 2)].reshape(n, width + 2), total[n * (width + 2) :]
+    for centres, cost in zip(models, costs):
+        mine = moments[at : at + len(centres)]
+        out.append((mine[:, :width], mine[:, width + 1], mine[:, width], float(cost)))
+        at += len(centres)
     return out
 
 
@@ -125,12 +157,12 @@ def _silhouettes(points: DataFrame, models: Sequence[Model], stats: Sequence[tup
 
     The mean squared distance to a cluster follows from its size, sum and squared norms, so this is linear in the points.
     """
-    scored = [(m.centres, sums, sizes, norms) for m, (sums, sizes, norms, _) in zip(models, stats)]
+    scored, bunches = [(sums, sizes, norms) for sums, sizes, norms, _ in stats], _bunches([m.centres for m in models])
 
     def add(total: np.ndarray, x: np.ndarray, number: np.ndarray) -> None:
         own_norm, here = (x**2).sum(1), np.arange(len(x))
-        for i, (centres, sums, sizes, norms) in enumerate(scored):
-            label = _squares(x, centres).argmin(1)
+        labels = (label for stacked, limits in bunches for label, _ in _nearest(x, own_norm, stacked, limits))
+        for i, ((sums, sizes, norms), label) in enumerate(zip(scored, labels)):
             whole = np.maximum(own_norm[:, None] * sizes - 2 * x @ sums.T + norms, 0.0)
             mine = whole[here, label] / np.maximum(sizes[label] - 1, 1)
             with np.errstate(divide="ignore", invalid="ignore"):
